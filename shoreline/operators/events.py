@@ -73,8 +73,12 @@ QUARANTINE = "quarantine"
 def parse_events(
     records: DataFrame, schema: StructType | str = EVENT_SCHEMA, value: str = "value", into: str = "event"
 ) -> DataFrame:
-    """Add the parsed record as one struct column; the text stays for the quarantine."""
-    return records.withColumn(into, parse_json(value, schema))
+    """Add the parsed record as one struct column; the text stays for the quarantine.
+
+    The one-element array makes Spark parse in an operator of its own. As a plain column, any
+    filter on the parsed fields would be pushed below it and parse every record once more.
+    """
+    return records.select("*", F.explode_outer(F.array(parse_json(value, schema))).alias(into))
 
 
 def route_of(
@@ -143,17 +147,19 @@ def explode_child(
 ) -> DataFrame:
     """A child table: parent keys, the element's place from 0, and the element's fields.
 
-    ``parent_keys`` are column names, or ``{alias: dotted path}``.
-
-    With ``outer`` a parent without elements keeps one row of nulls. Works on its own result
+    ``parent_keys`` are column names, or ``{alias: dotted path}``. With ``outer`` a parent without elements keeps one row of nulls. Works on its own result
     for arrays inside elements.
     """
     array = field_type(df.schema, path)
     if not isinstance(array, ArrayType):
         raise ValueError(f"{path} is no array")
     keys = parent_keys.items() if isinstance(parent_keys, Mapping) else [(key, key) for key in parent_keys]
-    explode = F.posexplode_outer if outer else F.posexplode
-    rows = df.select(*[F.col(source).alias(name) for name, source in keys], explode(path).alias(ordinal, "_element"))
+    elements = F.posexplode_outer(path).alias(ordinal, "_element")
+    rows = df.select(*[F.col(source).alias(name) for name, source in keys], elements)
+    if not outer:
+        # Dropping them afterwards keeps Spark from evaluating the array twice, once to
+        # filter for elements and once to explode them.
+        rows = rows.filter(F.col(ordinal).isNotNull())
     if isinstance(array.elementType, StructType):
         element = [F.col(f"_element.{name}").alias(name) for name in array.elementType.names]
     else:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.operators.events import (
+    EVENT_SCHEMA,
     explode_child,
     flatten_struct,
     parse_events,
@@ -17,7 +18,7 @@ from shoreline.operators.offsets import offset_ledger, starting_offsets_json, st
 from shoreline.queries.inputs import FEED_SQL, feed, plain_feed, table
 from shoreline.queries.registry import query
 from shoreline.session import scratch_path
-from shoreline.sources.records import parse_json, read_json_records
+from shoreline.sources.records import narrow_schema, parse_json, read_json_records
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -42,6 +43,10 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(feed(table(spark, sf_dir, "events")))
 
 
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_events(feed(table(spark, sf_dir, "events")), narrow_schema(EVENT_SCHEMA, ["entities"]))
+
+
 @query(f"""
 WITH {FEED_SQL}
 SELECT event_id, topic, route,
@@ -98,7 +103,7 @@ SELECT event_id, CAST(ordinal AS INTEGER) AS ordinal, entity_type AS "entityType
 FROM entities
 """)
 def entities_child(spark: SparkSession, sf_dir: str) -> DataFrame:
-    child = explode_child(_parsed(spark, sf_dir), "event.entities", {"event_id": "offset"})
+    child = explode_child(_entities(spark, sf_dir), "event.entities", {"event_id": "offset"})
     return child.select("event_id", "ordinal", "entityType", "entityId", "riskStatus")
 
 
@@ -110,7 +115,7 @@ FROM entities JOIN (SELECT event_id AS id, event_type FROM events) e ON e.id = e
 JOIN (VALUES (0), (1), (2)) m(i) ON m.i < n_models
 """)
 def models_child(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entities = explode_child(_parsed(spark, sf_dir), "event.entities", {"event_id": "offset"}, ordinal="entity")
+    entities = explode_child(_entities(spark, sf_dir), "event.entities", {"event_id": "offset"}, ordinal="entity")
     models = explode_child(entities, "models", ["event_id", "entity"])
     return models.select("event_id", "entity", "ordinal", "modelId", "score", F.col("tags")[0].alias("tag"))
 

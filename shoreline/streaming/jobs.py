@@ -20,6 +20,7 @@ from shoreline.operators.events import (
     route_events,
 )
 from shoreline.operators.offsets import offset_ledger
+from shoreline.sources.records import narrow_schema
 from shoreline.streaming.sinks import BATCH_COLUMN, for_each_batch, write_batch
 
 # The sliding window.
@@ -47,9 +48,11 @@ def routed(
 ) -> DataFrame:
     """Topic, position, text, route and the named event fields of each record.
 
-    ``extract_date`` is the date of arrival; see :func:`shoreline.functions.stamps.arrival_date`.
+    Only the fields that rules and ``fields`` name are parsed. ``extract_date`` is the date
+    of arrival; see :func:`shoreline.functions.stamps.arrival_date`.
     """
-    events = route_events(parse_events(records, schema), "event", rules, default)
+    needed = narrow_schema(schema, [*fields.values(), *[path for _, path in rules]])
+    events = route_events(parse_events(records, needed), "event", rules, default)
     picked = [path_column(events, f"event.{path}").alias(name) for name, path in fields.items()]
     return events.select(
         "topic", "partition", "offset", "value", "route", arrival_date().alias("extract_date"), *picked
