@@ -42,4 +42,4 @@ def dir_name(path: Column | str) -> Column:
 
 def trimmed_list(text: Column | str, separator: str = ",") -> Column:
     """Split a configured list and trim each entry."""
-    return F.transform(F.split(text, f"\\Q{separator}\\E"), F.trim)
+    return F.transform(F.split(text, f"\\Q{separator}\\E"), lambda entry: F.trim(entry))

@@ -1,0 +1,29 @@
+"""Every registered query gives the rows of its SQL twin."""
+
+import os
+
+import oracle
+import pytest
+
+import __spark_entry__ as entry_point
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def twins():
+    return oracle.connect(SF_DIR)
+
+
+def test_every_query_has_a_twin():
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+def test_rows_equal_the_twin(spark, twins, name):
+    rows = entry_point.queries()[name](spark, SF_DIR)
+    assert oracle.difference(rows, twins, entry_point.oracle_sql()[name]) is None
+
+
+def test_entry(spark):
+    assert entry_point.entry(spark).count() > 0
