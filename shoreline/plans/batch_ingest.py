@@ -75,6 +75,11 @@ class IngestJob:
         )
 
 
+def jobs_from(descriptors: DataFrame, **settings) -> list[IngestJob]:
+    """The jobs of a pivoted descriptor table, one row each."""
+    return [IngestJob.from_properties(row.asDict(), **settings) for row in descriptors.toLocalIterator()]
+
+
 def _path(properties: Mapping[str, str], prefix: str) -> str:
     parts = [properties.get(f"{prefix}_PATH"), properties.get(f"{prefix}_NM")]
     return "/".join(part for part in parts if part)

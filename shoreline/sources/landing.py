@@ -6,7 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 # Name patterns of the landed kinds.
 LANDED_KINDS = {"data": "*data.dsv", "schema": "*.schema", "stats": "*.stats"}
@@ -17,9 +16,9 @@ def list_landed(
 ) -> DataFrame:
     """``(path, kind, length, modified, zero_byte)`` for every landed file below ``root``.
 
-    Contents are never read. Spark's file sources pass over empty files, which are therefore
-    found by comparing the scan with the file listing Spark made for it; the listing holds
-    names only and is driver metadata in any Spark read.
+    Contents are never read. Spark's file sources pass over empty files, but its file listing
+    has them: a listed name without a scanned row is an empty file. The listing holds names
+    only and is driver metadata in any Spark read.
     """
     scan = (
         spark.read.format("binaryFile")
@@ -27,22 +26,16 @@ def list_landed(
         .option("pathGlobFilter", "{" + ",".join(kinds.values()) + "}")
         .load(root)
     )
-    filled = scan.select("path", "length", F.col("modificationTime").alias("modified"))
-    filled = filled.withColumn("path", plain_path("path"))
-    names = spark.createDataFrame(
-        [(name,) for name in scan.inputFiles()], StructType([StructField("path", StringType())])
-    ).select(plain_path(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("path"))
-    empty = names.join(filled.select("path"), "path", "left_anti")
-    return (
-        filled.withColumn("zero_byte", F.lit(False))
-        .unionByName(empty.withColumn("zero_byte", F.lit(True)), allowMissingColumns=True)
-        .select(
-            "path",
-            landed_kind("path", kinds).alias("kind"),
-            F.coalesce("length", F.lit(0)).alias("length"),
-            "modified",
-            "zero_byte",
-        )
+    filled = scan.select(plain_path("path").alias("path"), "length", F.col("modificationTime").alias("modified"))
+    listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "uri string").select(
+        plain_path(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))).alias("path")
+    )
+    return listed.join(filled, "path", "left").select(
+        "path",
+        landed_kind("path", kinds).alias("kind"),
+        F.coalesce("length", F.lit(0)).alias("length"),
+        "modified",
+        F.col("length").isNull().alias("zero_byte"),
     )
 
 

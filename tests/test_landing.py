@@ -5,7 +5,7 @@ from shoreline.functions.schematypes import ddl_type
 from shoreline.functions.stamps import file_stamp, joined_path, trimmed_list
 from shoreline.operators.manifest import derive_names, job_table, match_companions, number_files
 from shoreline.operators.union import union_requests
-from shoreline.plans.batch_ingest import IngestJob
+from shoreline.plans.batch_ingest import jobs_from
 from shoreline.sources.landing import list_landed
 from shoreline.sources.properties import parse_properties, pivot_properties, read_descriptors
 from shoreline.sources.schema_files import read_schema_files, schema_columns, schema_ddl
@@ -102,7 +102,8 @@ def test_descriptors(spark, tmp_path, separator):
     assert jobs["job_a.properties"]["TIME_COLS"] == ""
     assert jobs["job_a.properties"]["MVAL"] is None
     assert jobs["job_b.properties"]["MVAL"] == "true"
-    job = IngestJob.from_properties(jobs["job_a.properties"])
+    only_a = pivot_properties(parse_properties(read_descriptors(spark, str(tmp_path / "job_a*")), separator))
+    (job,) = jobs_from(only_a)
     assert (job.source, job.keys, job.time_columns) == ("/in/x|y=z", ("_c0", "_c1"), ())
 
 
