@@ -24,7 +24,7 @@ from shoreline.sinks.tables import (
     audit_row,
     write_report,
 )
-from shoreline.sources.delimited import read_delimited
+from shoreline.sources.delimited import read_compressed
 from shoreline.sources.dialect import APOSTROPHE_DIALECT, Dialect
 
 SOURCE_ROWS = "_source_rows"
@@ -49,6 +49,9 @@ class IngestJob:
     exact_files: bool = True
     #: Write below ``extract_date=<stamp>`` and keep other extracts.
     stamp: str | None = None
+    #: Spread the rows over so many tasks before deduplicating. For files that one task each
+    #: must read (gzip, multi-line records); others are split anyway.
+    spread: int | None = None
     dialect: Dialect = APOSTROPHE_DIALECT
     timestamps: TimestampMode = BLANK_MODE
     casts: Mapping[str, str] | None = None
@@ -91,7 +94,7 @@ def _names(text: str) -> tuple[str, ...]:
 
 def deduplicated(spark: SparkSession, job: IngestJob) -> DataFrame:
     """The job's rows with their source counts: one scan, one shuffle, nothing run yet."""
-    source = read_delimited(spark, job.source, job.dialect)
+    source = read_compressed(spark, job.source, job.dialect, partitions=job.spread)
     clean = canonical_timestamps(source, job.time_columns, job.timestamps)
     return latest_rows_counted(clean, job.keys, job.order, casts=job.casts, count_as=SOURCE_ROWS)
 
@@ -160,11 +163,12 @@ def run_all(
 ) -> dict[str, DataFrame | Exception]:
     """Run jobs of one application, several at a time; a failing job stops no other one.
 
-    Spark shares the executors between jobs submitted side by side, so that many small files
-    do not wait for one another.
+    Each job has a scheduler pool of its own. With ``spark.scheduler.mode`` FAIR, small files
+    then do not wait for a large one.
     """
 
     def attempt(job: IngestJob) -> DataFrame | Exception:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", job.name)
         try:
             return run(spark, job)
         except Exception as failure:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: The shuffle partition count is a starting point that AQE coalesces from, so it is set
 #: for the large case; tests and small runs lower it.
 RECOMMENDED_CONF = {
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

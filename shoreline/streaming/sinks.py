@@ -28,12 +28,12 @@ def write_batch(
     take dates from the record or from the streaming plan, not from the clock in here.
 
     Rows are rebalanced by partition column: small ones share a task and a large one is
-    split, so a topic with most of the records takes several files. ``one_file`` writes a
-    single file per batch and partition, through one task.
+    split, so a topic with most of the records takes several files. ``one_file`` sends each
+    partition through one task instead, for a single file per batch and partition.
     """
     columns = [*partition_by, BATCH_COLUMN]
     keyed = batch.withColumn(BATCH_COLUMN, F.lit(batch_id))
-    laid_out = keyed.repartition(1) if one_file else keyed.hint("rebalance", *partition_by)
+    laid_out = keyed.repartition(*partition_by) if one_file else keyed.hint("rebalance", *partition_by)
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

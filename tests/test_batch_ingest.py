@@ -65,8 +65,9 @@ def test_from_descriptor_to_files_and_report(spark, properties, tmp_path):
     assert spark.read.parquet(str(tmp_path / "all")).count() == 2
 
 
-def test_written_in_the_same_pass(spark, properties):
-    job = IngestJob.from_properties(properties, exact_files=False)
+@pytest.mark.parametrize("spread", [None, 3])
+def test_written_in_the_same_pass(spark, properties, spread):
+    job = IngestJob.from_properties(properties, exact_files=False, spread=spread)
     assert run_ingest(spark, job).collect() == [("pay_data.dsv", 3, 5, 2)]
     assert output(spark, job) == LATEST
 
