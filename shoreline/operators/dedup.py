@@ -13,33 +13,32 @@ def number_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
+    first: int = 1,
     *,
     casts: Mapping[str, str] | None = None,
     into: str = "row_number",
 ) -> DataFrame:
-    """Number the rows of each key, highest order values first.
+    """The ``first`` rows of each key, highest order values first, numbered from 1.
 
     Null keys form one group and null order values come last. ``casts`` compares an order
     column as another type (text puts "9" above "10"). All other columns decide between
     equal order values, so the result depends on the data alone and a task that runs again
     finds the same rows.
+
+    Spark turns the filter into a group limit on both sides of the shuffle: every map task
+    sends at most ``first`` rows per key, so a key that holds a third of all rows costs its
+    reducer that many rows per map task.
     """
     ranking = [value.desc() for value in _ranking(df, keys, order, casts).values()]
     window = Window.partitionBy(*keys).orderBy(*ranking)
-    return df.withColumn(into, F.row_number().over(window))
+    return df.withColumn(into, F.row_number().over(window)).filter(F.col(into) <= first)
 
 
 def latest_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], *, casts: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """One row per key, the one :func:`number_rows` puts first.
-
-    Spark turns the filter into a group limit on both sides of the shuffle: every map task
-    sends at most one row per key, so a key that holds a third of all rows costs its reducer
-    one row per map task.
-    """
-    numbered = number_rows(df, keys, order, casts=casts, into="_row_number")
-    return numbered.filter(F.col("_row_number") == 1).drop("_row_number")
+    """One row per key, the one :func:`number_rows` puts first."""
+    return number_rows(df, keys, order, casts=casts, into="_row_number").drop("_row_number")
 
 
 def latest_rows_counted(

@@ -79,7 +79,7 @@ class IngestJob:
 
 
 def jobs_from(descriptors: DataFrame, **settings) -> list[IngestJob]:
-    """The jobs of a pivoted descriptor table, one row each."""
+    """The jobs of a descriptor table, one row each; see ``sources.properties.job_properties``."""
     return [IngestJob.from_properties(row.asDict(), **settings) for row in descriptors.toLocalIterator()]
 
 

@@ -13,7 +13,7 @@ from shoreline.plans.typed_ingest import load_by_schema_file, run_typed_ingest
 from shoreline.queries.inputs import LANDED_LINES_SQL, landed_lines, table, text_of
 from shoreline.queries.registry import query
 from shoreline.session import scratch_path, staged
-from shoreline.sinks.delimited import file_count, into_files, write_dated, write_delimited
+from shoreline.sinks.delimited import DEFAULT_ROWS_PER_FILE, file_count, into_files, write_dated, write_delimited
 from shoreline.sources.delimited import positional_schema, read_compressed, read_delimited
 from shoreline.sources.dialect import APOSTROPHE_DIALECT, BEL, BEL_DIALECT, TYPED_DIALECT, UNQUOTED_DIALECT
 from shoreline.sources.landing import list_landed
@@ -151,7 +151,9 @@ def dated_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH keys AS (SELECT count(*) AS n FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))
 SELECT rows_per_file, n AS rows, n // rows_per_file + 1 AS expected_files, n // rows_per_file + 1 AS files
-FROM keys CROSS JOIN (VALUES (5000000), (20000), (10000)) t(rows_per_file)
+FROM (SELECT n, 10000000 AS rows_per_file FROM keys
+      UNION ALL SELECT n, greatest(20000, n // 500) FROM keys
+      UNION ALL SELECT n, greatest(10000, n // 1000) FROM keys)
 """)
 def file_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_rows(
@@ -162,7 +164,7 @@ def file_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = None
     with staged(latest, "sizing") as rows:
         count = rows.count()
-        for rows_per_file in (5_000_000, 20_000, 10_000):
+        for rows_per_file in (DEFAULT_ROWS_PER_FILE, max(20_000, count // 500), max(10_000, count // 1000)):
             files = file_count(count, rows_per_file)
             path = scratch_path(spark, "sized")
             write_delimited(into_files(rows, files), path)
@@ -172,7 +174,7 @@ def file_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("in_file"))
                 .agg(F.sum("in_file").alias("rows"), F.count(F.lit(1)).alias("files"))
                 .select(
-                    F.lit(rows_per_file).alias("rows_per_file"),
+                    F.lit(rows_per_file).cast("bigint").alias("rows_per_file"),
                     "rows",
                     F.lit(files).cast("bigint").alias("expected_files"),
                     "files",
@@ -212,7 +214,7 @@ QUALIFY row_number() OVER (
 @query(LATEST_LINES_SQL.format(extra=""))
 def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed text to deduplicated text in a given number of files."""
-    job = _lines_job(spark, sf_dir, rows_per_file=250_000)
+    job = _lines_job(spark, sf_dir)
     run_ingest(spark, job)
     return _named(read_delimited(spark, job.target, job.dialect, positional_schema(7)), *LINE_COLUMNS)
 
@@ -220,7 +222,7 @@ def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LATEST_LINES_SQL.format(extra=", '2019-03-22_14_50_41' AS extract_date"))
 def batch_ingest_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same below a dated folder, written in the pass that deduplicates."""
-    job = _lines_job(spark, sf_dir, rows_per_file=250_000, exact_files=False, stamp="2019-03-22_14_50_41")
+    job = _lines_job(spark, sf_dir, exact_files=False, stamp="2019-03-22_14_50_41")
     run_ingest(spark, job)
     return _named(read_delimited(spark, job.target, job.dialect), *LINE_COLUMNS, "extract_date")
 

@@ -18,7 +18,7 @@ from shoreline.operators.profile import column_profile, partition_profile, repla
 from shoreline.operators.union import union_requests
 from shoreline.queries.inputs import ORDER_TIME_TEXT_SQL, order_texts, table
 from shoreline.queries.registry import query
-from shoreline.sources.properties import parse_properties, pivot_properties
+from shoreline.sources.properties import job_properties, property_lines
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -65,10 +65,11 @@ def dedup_latest_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_custkey, o_orderkey,
        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderkey DESC) AS place
 FROM orders
+QUALIFY place <= 3
 """)
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    numbered = number_rows(orders, ["o_custkey"], ["o_orderdate", "o_totalprice"], into="place")
+    numbered = number_rows(orders, ["o_custkey"], ["o_orderdate", "o_totalprice"], 3, into="place")
     return numbered.select("o_custkey", "o_orderkey", F.col("place").cast("bigint"))
 
 
@@ -198,6 +199,24 @@ SELECT s_name AS job, '/in|part/' || s_suppkey AS "SRC_FILE_PATH", s_name || '_d
 FROM supplier
 """)
 def properties_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["SRC_FILE_PATH", "SRC_FILE_NM", "TBL_NAME", "TIME_COLS", "Dedup_Key", "PART_CAL_VAL"]
+    return job_properties(_supplier_descriptors(spark, sf_dir), "|", keys)
+
+
+@query("""
+SELECT s_name AS job, CAST(line AS INTEGER) AS line, key,
+       CASE line WHEN 1 THEN '/in|part/' || s_suppkey WHEN 2 THEN s_name || '_data.dsv'
+                 WHEN 6 THEN 'NATION_' || s_nationkey ELSE fixed END AS value
+FROM supplier CROSS JOIN (VALUES
+  (0, 'TBL_NAME', 'first'), (1, 'SRC_FILE_PATH', NULL), (2, 'SRC_FILE_NM', NULL), (3, 'TIME_COLS', ''),
+  (5, 'Dedup_Key', '_c0, _c1'), (6, 'TBL_NAME', NULL)) p(line, key, fixed)
+""")
+def properties_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return property_lines(_supplier_descriptors(spark, sf_dir), "|")
+
+
+def _supplier_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One descriptor text per supplier, with a repeated key and a line that is no property."""
     name, number = F.col("s_name"), F.col("s_suppkey").cast("string")
     lines = [
         F.lit("TBL_NAME|first"),
@@ -208,9 +227,7 @@ def properties_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Dedup_Key|_c0, _c1"),
         F.concat(F.lit("TBL_NAME|NATION_"), F.col("s_nationkey").cast("string")),
     ]
-    descriptors = table(spark, sf_dir, "supplier").select(name.alias("job"), F.concat_ws("\n", *lines).alias("text"))
-    keys = ["SRC_FILE_PATH", "SRC_FILE_NM", "TBL_NAME", "TIME_COLS", "Dedup_Key", "PART_CAL_VAL"]
-    return pivot_properties(parse_properties(descriptors, "|"), keys)
+    return table(spark, sf_dir, "supplier").select(name.alias("job"), F.concat_ws("\n", *lines).alias("text"))
 
 
 LANDED_PARTS_SQL = """

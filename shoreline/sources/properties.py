@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.functions.stamps import base_name
@@ -35,31 +35,40 @@ def read_descriptors(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.select(base_name(F.col("_metadata.file_path")).alias("job"), F.col("value").alias("text"))
 
 
-def parse_properties(descriptors: DataFrame, separator: str = "=") -> DataFrame:
-    """``(job, line, key, value)`` rows.
+def property_lines(descriptors: DataFrame, separator: str = "=") -> DataFrame:
+    """``(job, line, key, value)``, one row per line that holds a property."""
+    rows = descriptors.select("job", F.explode_outer(_properties("text", separator)).alias("property"))
+    return rows.filter(F.col("property").isNotNull()).select("job", "property.*")
 
-    Only the first separator of a line splits it, so a value may hold the separator or be
-    empty. Lines without a separator carry no property.
+
+def job_properties(descriptors: DataFrame, separator: str = "=", keys: Sequence[str] = JOB_KEYS) -> DataFrame:
+    """One row per job with a column per key; the last of repeated keys wins.
+
+    A descriptor is one row already, so its properties need no shuffle to come together.
     """
-    lines = descriptors.select("job", F.posexplode(F.split("text", r"\r?\n")).alias("line", "entry"))
-    pair = F.split(F.col("entry"), f"\\Q{separator}\\E", 2)
-    return (
-        lines.withColumn("pair", pair)
-        .filter(F.size("pair") == 2)
-        .select(
-            "job",
-            "line",
-            F.trim(F.col("pair")[0]).alias("key"),
-            F.trim(F.col("pair")[1]).alias("value"),
-        )
-    )
+    properties = descriptors.withColumn("properties", _properties("text", separator))
 
+    def last(key: str) -> Column:
+        found = F.filter("properties", lambda p: p["key"] == key)
+        return F.try_element_at(found, F.lit(-1))["value"].alias(key)
 
-def pivot_properties(properties: DataFrame, keys: Sequence[str] = JOB_KEYS) -> DataFrame:
-    """One row per job with a column per key; the last of repeated keys wins.
+    return properties.select("job", *map(last, keys))
 
-    Naming the keys spares the pass that would look for them. Plain aggregates combine on
-    the map side.
+
+def _properties(text: Column | str, separator: str) -> Column:
+    """Only the first separator of a line splits it, so a value may hold it or be empty.
+
+    Lines without a separator carry no property.
     """
-    picks = [F.max_by("value", F.when(F.col("key") == key, F.col("line"))).alias(key) for key in keys]
-    return properties.groupBy("job").agg(*picks)
+    lines = F.transform(
+        F.split(text, r"\r?\n"),
+        lambda line, place: F.struct(place.alias("line"), F.split(line, f"\\Q{separator}\\E", 2).alias("pair")),
+    )
+    return F.transform(
+        F.filter(lines, lambda entry: F.size(entry["pair"]) == 2),
+        lambda entry: F.struct(
+            entry["line"].alias("line"),
+            F.trim(entry["pair"][0]).alias("key"),
+            F.trim(entry["pair"][1]).alias("value"),
+        ),
+    )

@@ -46,10 +46,11 @@ def test_equals_brute_force_however_partitioned(spark, rows, parts):
 
 def test_numbering_order(spark):
     df = spark.createDataFrame([("a", None), ("a", "9"), ("a", "10")], "k string, t string")
-    by_text = {row.t: row.row_number for row in number_rows(df, ["k"], ["t"]).collect()}
+    by_text = {row.t: row.row_number for row in number_rows(df, ["k"], ["t"], 3).collect()}
     assert by_text == {"9": 1, "10": 2, None: 3}
-    by_number = {row.t: row.row_number for row in number_rows(df, ["k"], ["t"], casts={"t": "int"}).collect()}
+    by_number = {row.t: row.row_number for row in number_rows(df, ["k"], ["t"], 3, casts={"t": "int"}).collect()}
     assert by_number == {"10": 1, "9": 2, None: 3}
+    assert {row.t for row in number_rows(df, ["k"], ["t"], 2).collect()} == {"9", "10"}
 
 
 def test_equal_casts_are_decided_by_the_text(spark):

@@ -7,7 +7,7 @@ from shoreline.operators.manifest import derive_names, job_table, match_companio
 from shoreline.operators.union import union_requests
 from shoreline.plans.batch_ingest import jobs_from
 from shoreline.sources.landing import list_landed
-from shoreline.sources.properties import parse_properties, pivot_properties, read_descriptors
+from shoreline.sources.properties import job_properties, property_lines, read_descriptors
 from shoreline.sources.schema_files import read_schema_files, schema_columns, schema_ddl
 
 FULL = "ab_cd_CUSTOMER_ORD_20190101_120000_001_data.dsv"
@@ -95,15 +95,17 @@ def test_descriptors(spark, tmp_path, separator):
     text = "\n".join(line.replace("|", separator, 1) for line in lines)
     (tmp_path / "job_a.properties").write_text(text)
     (tmp_path / "job_b.properties").write_text(f"TBL_NAME{separator}C\r\nMVAL{separator}true\r\n")
-    rows = pivot_properties(parse_properties(read_descriptors(spark, str(tmp_path)), separator)).collect()
+    rows = job_properties(read_descriptors(spark, str(tmp_path)), separator).collect()
     jobs = {row.job: row.asDict() for row in rows}
     assert jobs["job_a.properties"]["TBL_NAME"] == "B"
     assert jobs["job_a.properties"]["SRC_FILE_NM"] == "x|y=z"
     assert jobs["job_a.properties"]["TIME_COLS"] == ""
     assert jobs["job_a.properties"]["MVAL"] is None
     assert jobs["job_b.properties"]["MVAL"] == "true"
-    only_a = pivot_properties(parse_properties(read_descriptors(spark, str(tmp_path / "job_a*")), separator))
-    (job,) = jobs_from(only_a)
+    only_a = read_descriptors(spark, str(tmp_path / "job_a*"))
+    (job,) = jobs_from(job_properties(only_a, separator))
+    kept = [(r.line, r.key) for r in property_lines(only_a, separator).collect() if r.key == "TBL_NAME"]
+    assert kept == [(0, "TBL_NAME"), (9, "TBL_NAME")]
     assert (job.source, job.keys, job.time_columns) == ("/in/x|y=z", ("_c0", "_c1"), ())
 
 
