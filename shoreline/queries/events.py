@@ -18,7 +18,7 @@ from shoreline.operators.offsets import offset_ledger, starting_offsets_json, st
 from shoreline.queries.inputs import FEED_SQL, feed, plain_feed, table
 from shoreline.queries.registry import query
 from shoreline.session import scratch_path
-from shoreline.sources.records import narrow_schema, parse_json, read_json_records
+from shoreline.sources.records import inferred_schema, narrow_schema, parse_json, read_json_records
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -29,6 +29,12 @@ def event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", "parsed.k")
 
 
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def event_parse_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return events.withColumn("parsed", parse_json("props", inferred_schema(events, "props"))).select("event_id", "parsed.k")
+
+
 @query("""
 SELECT event_id, user_id, event_type, value FROM events
 """)

@@ -58,18 +58,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """Write ``df`` once to the shared folder and yield it read back.
-
-    Several actions can then use the result without running its lineage again, and a lost
-    executor costs no recomputation. The staged copy goes away with the block.
-    """
-    spark = df.sparkSession
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A fresh path in the shared folder whose content goes away with the block."""
     path = scratch_path(spark, label)
-    df.write.parquet(path)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield path
     finally:
         jvm = spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Write ``df`` once to the shared folder and yield it read back.
+
+    Several actions can then use the result without running its lineage again, and a lost
+    executor costs no recomputation.
+    """
+    with scratch_folder(df.sparkSession, label) as path:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
+from shoreline.session import scratch_folder
+
 CORRUPT_FIELD = "_corrupt_record"
+RECORD_SEPARATOR = "\u001e"
 
 
 def read_json_records(
@@ -21,6 +24,20 @@ def read_json_records(
     return reader.schema(with_corrupt_field(schema)).json(path)
 
 
+def inferred_schema(records: DataFrame, value: str = "value", sampling_ratio: float = 1.0) -> StructType:
+    """The schema Spark infers from the JSON texts of a column.
+
+    A job of its own, to find the fixed schema that parsing then uses. Texts go through a
+    file with a record separator that JSON text cannot hold unescaped.
+    """
+    spark = records.sparkSession
+    with scratch_folder(spark, "json") as path:
+        records.select(value).filter(F.col(value).isNotNull()).write.option("lineSep", RECORD_SEPARATOR).text(path)
+        reader = spark.read.option("lineSep", RECORD_SEPARATOR).option("columnNameOfCorruptRecord", CORRUPT_FIELD)
+        schema = reader.option("samplingRatio", sampling_ratio).json(path).schema
+    return StructType([field for field in schema if field.name != CORRUPT_FIELD])
+
+
 def parse_json(text: Column | str, schema: StructType | str) -> Column:
     """A struct with a fixed schema; a text that is no such record fills ``_corrupt_record``.
 

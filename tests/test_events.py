@@ -14,7 +14,7 @@ from shoreline.operators.events import (
 )
 from shoreline.operators.offsets import offset_ledger, starting_offsets_json, starting_positions
 from shoreline.sources.kafka import kafka_options, text_records
-from shoreline.sources.records import narrow_schema, read_json_records
+from shoreline.sources.records import field_type, inferred_schema, narrow_schema, read_json_records
 
 
 def event(event_id, entities=(), **fields):
@@ -138,6 +138,14 @@ def test_json_lines(spark, tmp_path):
     assert fixed.filter("_corrupt_record is not null").count() == 1
 
 
+def test_schema_of_texts(records):
+    schema = inferred_schema(records)
+    assert field_type(schema, "originatingEvent.internalAmount.value").simpleString() == "double"
+    assert field_type(schema, "entities").elementType.names == ["entityId", "entityType", "models"]
+    routed = route_events(parse_events(records, schema))
+    assert {row.name: row.route for row in routed.collect()} == ROUTES
+
+
 def test_offsets(spark):
     records = spark.createDataFrame([("a", 0, 5), ("a", 0, 9), ("a", 10, 1), ("b", 0, 0)], "topic string, partition int, offset bigint")
     ledger = offset_ledger(records)
