@@ -27,6 +27,12 @@ RECOMMENDED_CONF = {
     ),
 }
 
+#: Overrides for streams. The partition count of a stateful query is fixed by its first run
+#: and each partition is a state store, so it follows the executors' cores, not the data.
+STREAMING_CONF = {
+    "spark.sql.shuffle.partitions": "2000",
+}
+
 
 def build_session(app_name: str, overrides: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

@@ -65,12 +65,12 @@ def route_and_append(
     *,
     ledger_path: str | None = None,
     partition_by: Sequence[str] = ("topic", "route", "extract_date"),
-    one_file: bool = False,
+    files: int | None = None,
 ) -> DataStreamWriter:
     """Write all routes of a batch in one pass, and the offsets it held."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, path, partition_by, one_file=one_file)
+        write_batch(batch, batch_id, path, partition_by, files=files)
         if ledger_path:
             write_batch(offset_ledger(batch), batch_id, ledger_path, ["topic"])
 
@@ -140,7 +140,7 @@ def count_windows(
     )
 
 
-def keep_counts(counts: DataFrame, path: str) -> DataStreamWriter:
+def keep_counts(counts: DataFrame, path: str, files: int = 4) -> DataStreamWriter:
     """Write each batch's changed counts; :func:`current_counts` reads the newest ones.
 
     Update mode sends a window as often as it grows and forgets it afterwards, where
@@ -149,7 +149,7 @@ def keep_counts(counts: DataFrame, path: str) -> DataStreamWriter:
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         day = F.date_format("window_start", "yyyy-MM-dd").alias("window_date")
-        write_batch(batch.select("*", day), batch_id, path, ["window_date"])
+        write_batch(batch.select("*", day), batch_id, path, ["window_date"], files=files)
 
     return counts.writeStream.outputMode("update").foreachBatch(handle)
 

@@ -19,7 +19,7 @@ def write_batch(
     partition_by: Sequence[str],
     *,
     file_format: str = "parquet",
-    one_file: bool = False,
+    files: int | None = None,
 ) -> None:
     """Write below ``<partition columns>/batch_id=<n>``, replacing what that batch wrote before.
 
@@ -28,12 +28,18 @@ def write_batch(
     take dates from the record or from the streaming plan, not from the clock in here.
 
     Rows are rebalanced by partition column: small ones share a task and a large one is
-    split, so a topic with most of the records takes several files. ``one_file`` sends each
-    partition through one task instead, for a single file per batch and partition.
+    split, so a topic with most of the records takes several files. That is up to AQE, which
+    Spark turns off in stateful streams; there, tasks write what they hold. ``files`` spreads
+    each partition over at most so many tasks and files instead; 1 makes a single file.
     """
     columns = [*partition_by, BATCH_COLUMN]
     keyed = batch.withColumn(BATCH_COLUMN, F.lit(batch_id))
-    laid_out = keyed.repartition(*partition_by) if one_file else keyed.hint("rebalance", *partition_by)
+    if files:
+        laid_out = keyed.repartition(*partition_by, F.pmod(F.xxhash64(*batch.columns), F.lit(files)))
+    elif batch.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        laid_out = keyed.hint("rebalance", *partition_by)
+    else:
+        laid_out = keyed
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -106,14 +106,14 @@ EXPECTED_ROUTES = [
 ]
 
 
-@pytest.mark.parametrize("one_file", [False, True])
-def test_routes_and_ledger_survive_a_replay(spark, topic, tmp_path, one_file):
+@pytest.mark.parametrize("files", [None, 1])
+def test_routes_and_ledger_survive_a_replay(spark, topic, tmp_path, files):
     two_batches(topic)
     path, ledger, checkpoint = (str(tmp_path / name) for name in ("out", "ledger", "checkpoint"))
 
     def run():
         stream = routed(topic.stream(), FIELDS)
-        finish(route_and_append(stream, path, ledger_path=ledger, one_file=one_file), checkpoint)
+        finish(route_and_append(stream, path, ledger_path=ledger, files=files), checkpoint)
 
     run()
     assert routes(spark, path) == EXPECTED_ROUTES
@@ -127,8 +127,8 @@ def test_routes_and_ledger_survive_a_replay(spark, topic, tmp_path, one_file):
     topic.arrive(("k", value(6), "two", 2, 6))
     run()
     assert routes(spark, path) == [*EXPECTED_ROUTES, ("two", 2, "asyncout", "A6", 2)]
-    if one_file:
-        assert all(len(os.listdir(f)) <= 2 for f in glob.glob(f"{path}/*/*/*/batch_id=*"))
+    if files:
+        assert all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in glob.glob(f"{path}/*/*/*/batch_id=*"))
 
 
 def test_arrival_date_of_a_batch_stays_when_it_is_replayed(spark, topic, tmp_path):
@@ -242,3 +242,28 @@ def test_interval_trigger(spark, topic, tmp_path):
     assert query.name == "landing"
     query.stop()
     assert spark.read.text(str(tmp_path / "raw")).count() == 6
+
+
+def test_a_stateful_stream_can_be_routed(spark, topic, tmp_path):
+    two_batches(topic)
+    topic.arrive(("k", value(4, chargebackId="CB", fraudTransactionId="FR"), "one", 2, 4))
+    kept = drop_replays(topic.stream(), "value", late_by="1 hour")
+    path = str(tmp_path / "out")
+    finish(route_and_append(routed(kept, FIELDS), path), tmp_path / "checkpoint")
+    assert routes(spark, path) == EXPECTED_ROUTES
+
+
+def test_a_topic_with_most_records_is_split_over_tasks(spark, tmp_path):
+    from shoreline.streaming.sinks import write_batch
+
+    rows = spark.range(0, 60_000, 1, 6).selectExpr(
+        "case when id % 3 = 0 then 'quiet' else 'hot' end as topic", "id", "sha2(cast(id as string), 256) as value"
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_batch(rows, 0, str(tmp_path / "out"), ["topic"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert written.count() == 60_000
+    assert len(glob.glob(str(tmp_path / "out" / "topic=hot" / "*" / "*.parquet"))) > 1
