@@ -147,8 +147,8 @@ def explode_child(
 ) -> DataFrame:
     """A child table: parent keys, the element's place from 0, and the element's fields.
 
-    ``parent_keys`` are column names, or ``{alias: dotted path}``. With ``outer`` a parent without elements keeps one row of nulls. Works on its own result
-    for arrays inside elements.
+    ``parent_keys`` are column names, or ``{alias: dotted path}``. With ``outer`` a parent
+    without elements keeps one row of nulls. Works on its own result for arrays inside elements.
     """
     array = field_type(df.schema, path)
     if not isinstance(array, ArrayType):

@@ -32,7 +32,8 @@ def event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def event_parse_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return events.withColumn("parsed", parse_json("props", inferred_schema(events, "props"))).select("event_id", "parsed.k")
+    schema = inferred_schema(events, "props")
+    return events.withColumn("parsed", parse_json("props", schema)).select("event_id", "parsed.k")
 
 
 @query("""
