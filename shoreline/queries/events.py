@@ -18,6 +18,8 @@ from shoreline.operators.offsets import offset_ledger, starting_offsets_json, st
 from shoreline.queries.inputs import FEED_SQL, feed, plain_feed, table
 from shoreline.queries.registry import query
 from shoreline.session import scratch_path
+from shoreline.sources.delimited import schema_from_names
+from shoreline.sources.kafka import text_records
 from shoreline.sources.records import inferred_schema, narrow_schema, parse_json, read_json_records
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -29,6 +31,27 @@ def event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", "parsed.k")
 
 
+@query("""
+SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS other FROM events
+""")
+def event_parse_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text fields by a list of names; a name no record has is null."""
+    parsed = table(spark, sf_dir, "events").withColumn("parsed", parse_json("props", schema_from_names("k other")))
+    return parsed.select("event_id", "parsed.k", "parsed.other")
+
+
+@query(f"""
+WITH {FEED_SQL}
+SELECT CAST(f.user_id AS VARCHAR) AS key, e.props AS value, f.topic, f.part AS partition, f.event_id AS offset
+FROM feed f JOIN events e USING (event_id)
+""")
+def record_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and values as a topic holds them, bytes, turned into text."""
+    records = plain_feed(table(spark, sf_dir, "events"))
+    stored = records.withColumns({name: F.col(name).cast("binary") for name in ("key", "value")})
+    return text_records(stored).drop("timestamp")
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def event_parse_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -144,7 +167,8 @@ def line_items_child(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat("o_orderstatus", i.cast("string")).alias("label"),
         ),
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(items.alias("lineItems"))).alias("value"))
+    value = F.to_json(F.struct(items.alias("lineItems"))).alias("value")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", value)
     schema = "lineItems array<struct<item_no: int, amount: double, label: string>>"
     return explode_child(parse_events(orders, schema), "event.lineItems", ["o_orderkey"], outer=True)
 

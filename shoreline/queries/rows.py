@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoreline.functions.stamps import base_name, dir_name, event_date, file_stamp, joined_path, trimmed_list
 from shoreline.functions.timestamps import (
     BLANK_MODE,
     SENTINEL_MODE,
@@ -18,6 +19,7 @@ from shoreline.operators.profile import column_profile, partition_profile, repla
 from shoreline.operators.union import union_requests
 from shoreline.queries.inputs import ORDER_TIME_TEXT_SQL, order_texts, table
 from shoreline.queries.registry import query
+from shoreline.sources.landing import landed_kind
 from shoreline.sources.properties import job_properties, property_lines
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -134,6 +136,28 @@ def ts_reformat_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {ORDER_TIME_TEXT_SQL}
+SELECT o_orderkey, '/out/' || strftime(placed_at, '%Y-%m-%d') AS folder,
+       strftime(placed_at, '%Y-%m-%d_%H_%M_%S') || '.csv' AS file_name, 'data' AS kind, ['a', 'b c'] = ['a', 'b c'] AS listed
+FROM order_times
+""")
+def stamped_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths from run stamps, taken apart again."""
+    at = F.expr("timestampadd(SECOND, CAST(o_orderkey % 86400 AS INT), o_orderdate)")
+    name = F.concat(file_stamp(at), F.lit(".csv"))
+    paths = table(spark, sf_dir, "orders").select(
+        "o_orderkey", joined_path(F.lit("/out"), event_date(at), name).alias("path"), F.lit(" a,b c ").alias("list")
+    )
+    return paths.select(
+        "o_orderkey",
+        dir_name("path").alias("folder"),
+        base_name("path").alias("file_name"),
+        landed_kind("path", {"data": "*.csv"}).alias("kind"),
+        (trimmed_list("list") == F.array(F.lit("a"), F.lit("b c"))).alias("listed"),
+    )
+
+
 @query(f"""
 WITH {ORDER_TIME_TEXT_SQL}
 SELECT 'order_time' AS column_name, count(*) AS rows,

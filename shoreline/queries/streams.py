@@ -16,6 +16,7 @@ from shoreline.streaming.jobs import (
     keep_counts,
     land_raw,
     land_windowed_rows,
+    land_windows,
     route_and_append,
     routed,
 )
@@ -108,7 +109,7 @@ SELECT p.topic, strftime(p.window_start, '%Y-%m-%d %H:%M:%S') AS window_start, e
 FROM placed p JOIN events e USING (event_id)
 """)
 def stream_window_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "window-text")
+    path = scratch_path(spark, "window-rows")
     records = plain_feed(table_stream(spark, sf_dir, "events"))
     _finish(spark, land_windowed_rows(records, path))
     return spark.read.parquet(path).select(
@@ -116,6 +117,24 @@ def stream_window_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {FEED_SQL},
+placed AS (
+  SELECT topic, event_id, date_trunc('day', ts) AS window_start FROM feed
+  UNION ALL
+  SELECT topic, event_id, date_trunc('day', ts) - INTERVAL '1 day' FROM feed
+)
+SELECT p.topic, strftime(p.window_start, '%Y-%m-%d_%H-%M-%S') AS window_start, e.props AS value
+FROM placed p JOIN events e USING (event_id)
+""")
+def stream_window_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text folder per window, here of two days so that the folders stay few."""
+    path = scratch_path(spark, "window-text")
+    records = plain_feed(table_stream(spark, sf_dir, "events"))
+    _finish(spark, land_windows(records, path, "2 days", "1 day"))
+    return spark.read.text(path).select("topic", "window_start", "value")
+
+
 @query("SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, props FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event arrives twice and is kept once."""
