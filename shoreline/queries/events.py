@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoreline.operators.events import (
     EVENT_SCHEMA,
+    ROUTES,
     explode_child,
     flatten_struct,
     parse_events,
@@ -86,19 +87,16 @@ SELECT event_id, topic, route,
 FROM routed
 """)
 def event_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = route_events(_parsed(spark, sf_dir))
-    named = project_paths(
-        routed,
-        {
-            "event_id": "offset",
-            "topic": "topic",
-            "route": "route",
-            "account": "event.originatingEvent.accountNumber",
-            "card": "event.originatingEvent.cardPr",
-            "amount": "event.originatingEvent.internalAmount.value",
-            "at": "event.originatingEvent.eventTime",
-        },
-    )
+    fields = {
+        "account": "originatingEvent.accountNumber",
+        "card": "originatingEvent.cardPr",
+        "amount": "originatingEvent.internalAmount.value",
+        "at": "originatingEvent.eventTime",
+    }
+    needed = narrow_schema(EVENT_SCHEMA, [*fields.values(), *[path for _, path in ROUTES]])
+    routed = route_events(parse_events(feed(table(spark, sf_dir, "events")), needed))
+    paths = {name: f"event.{path}" for name, path in fields.items()}
+    named = project_paths(routed, {"event_id": "offset", "topic": "topic", "route": "route", **paths})
     return named.withColumn("event_time", F.date_format("at", MICROS)).drop("at")
 
 
