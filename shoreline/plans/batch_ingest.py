@@ -160,9 +160,11 @@ def run_all(
     *,
     at_once: int = 8,
     run: Callable[[SparkSession, IngestJob], DataFrame] = run_ingest,
-) -> dict[str, DataFrame | Exception]:
+) -> list[tuple[IngestJob, DataFrame | Exception]]:
     """Run jobs of one application, several at a time; a failing job stops no other one.
 
+    Each job comes back with its report or with what made it fail.
+
     Each job has a scheduler pool of its own. With ``spark.scheduler.mode`` FAIR, small files
     then do not wait for a large one.
     """
@@ -176,5 +178,4 @@ def run_all(
 
     batch = list(jobs)
     with ThreadPoolExecutor(at_once) as pool:
-        results = pool.map(inheritable_thread_target(spark)(attempt), batch)
-        return {job.name: result for job, result in zip(batch, results)}
+        return list(zip(batch, pool.map(inheritable_thread_target(spark)(attempt), batch)))

@@ -139,7 +139,7 @@ def ts_reformat_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {ORDER_TIME_TEXT_SQL}
 SELECT o_orderkey, '/out/' || strftime(placed_at, '%Y-%m-%d') AS folder,
-       strftime(placed_at, '%Y-%m-%d_%H_%M_%S') || '.csv' AS file_name, 'data' AS kind, ['a', 'b c'] = ['a', 'b c'] AS listed
+       strftime(placed_at, '%Y-%m-%d_%H_%M_%S') || '.csv' AS file_name, 'data' AS kind, o_orderstatus || '/' || o_orderpriority AS listed
 FROM order_times
 """)
 def stamped_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,14 +147,16 @@ def stamped_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.expr("timestampadd(SECOND, CAST(o_orderkey % 86400 AS INT), o_orderdate)")
     name = F.concat(file_stamp(at), F.lit(".csv"))
     paths = table(spark, sf_dir, "orders").select(
-        "o_orderkey", joined_path(F.lit("/out"), event_date(at), name).alias("path"), F.lit(" a,b c ").alias("list")
+        "o_orderkey",
+        joined_path(F.lit("/out"), event_date(at), name).alias("path"),
+        F.concat(F.lit(" "), "o_orderstatus", F.lit(" ,"), "o_orderpriority", F.lit(" ")).alias("list"),
     )
     return paths.select(
         "o_orderkey",
         dir_name("path").alias("folder"),
         base_name("path").alias("file_name"),
         landed_kind("path", {"data": "*.csv"}).alias("kind"),
-        (trimmed_list("list") == F.array(F.lit("a"), F.lit("b c"))).alias("listed"),
+        F.array_join(trimmed_list("list"), "/").alias("listed"),
     )
 
 

@@ -101,9 +101,9 @@ def test_many_jobs_one_of_which_fails(spark, properties):
         IngestJob.from_properties(properties),
         IngestJob.from_properties({**properties, "SRC_FILE_NM": "missing", "TAR_FILE_NM": "other"}),
     ]
-    results = run_all(spark, jobs)
-    assert results["pay_data.dsv"].first().dedup_count == 3
-    assert isinstance(results["missing"], Exception)
+    (_, report), (failed, reason) = run_all(spark, jobs)
+    assert report.first().dedup_count == 3
+    assert failed.name == "missing" and isinstance(reason, Exception)
 
 
 def test_one_scan_and_one_shuffle(spark, properties):
