@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import simhash
+from shoreline.llm import decontaminate, simhash
 from shoreline.llm.common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,42 @@ def query(sql: str | None = None) -> Callable[[Runner], Runner]:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP5_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+item AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS win
+  FROM item, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(s) WHERE len(w) > 0
+),
+placed AS (
+  SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS win
+  FROM doc, (SELECT DISTINCT n FROM wanted), unnest(range(1, len(w) - n + 2)) AS t(s)
+),
+found AS (SELECT r, s, n, item_id FROM placed JOIN wanted USING (n, win)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM found, unnest(range(s, s + n)) AS t(p) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query(OP5_SQL)
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
