@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, simhash
+from shoreline.llm import decontaminate, linededup, simhash
 from shoreline.llm.common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,33 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+OP9_SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT r, doc_id, p, lines[p] AS line,
+    translate(regexp_replace(lines[p], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM doc, unnest(range(1, len(lines) + 1)) AS t(p)
+),
+firsts AS (
+  SELECT key, min(doc_id) AS first_id FROM line WHERE length(key) >= 10 AND doc_id IS NOT NULL
+  GROUP BY key HAVING count(DISTINCT doc_id) > 1
+),
+judged AS (SELECT r, p, line, first_id IS NOT NULL AND doc_id > first_id AS gone FROM line LEFT JOIN firsts USING (key))
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, n_dropped, sha256(kept) AS kept_sha256
+FROM doc JOIN (
+  SELECT r, count(*) FILTER (WHERE coalesce(gone, false)) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT coalesce(gone, false)), '') AS kept
+  FROM judged GROUP BY r
+) USING (r)
+"""
+
+
+@query(OP9_SQL)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept, n_lines, n_dropped = linededup.without_repeats(docs)
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return kept.select("doc_id", F.col(n_lines).alias("n_lines"), F.col(n_dropped).alias("n_dropped"), digest.alias("kept_sha256"))
