@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, linededup, simhash
+from shoreline.llm import decontaminate, linededup, simhash, substrings
 from shoreline.llm.common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, n_lines, n_dropped = linededup.without_repeats(docs)
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return kept.select("doc_id", F.col(n_lines).alias("n_lines"), F.col(n_dropped).alias("n_dropped"), digest.alias("kept_sha256"))
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
