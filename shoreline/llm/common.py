@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from shoreline.session import scratch_path
 
@@ -106,3 +107,19 @@ def windows_hash(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
                 return result
             power = mixed(power[:-reach] * np.uint64(0xC2B2AE3D27D4EB4F) + power[reach:])
             reach *= 2
+
+
+def with_scores(docs: DataFrame, name: str, scores) -> DataFrame:
+    """``docs`` and a double column ``name``: ``scores`` of each slice's texts, given as bytes."""
+    at, names = docs.columns.index("text"), [*docs.columns, name]
+    fields = [StructField("text", BinaryType()) if f.name == "text" else f for f in docs.schema.fields]
+    schema = StructType([*fields, StructField(name, DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                values = pa.array(scores([text or b"" for text in part.column(at).to_pylist()]))
+                yield pa.RecordBatch.from_arrays([*part.columns, values], names=names)
+
+    result = docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, schema)
+    return result.withColumn("text", F.col("text").cast("string"))
