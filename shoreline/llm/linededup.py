@@ -131,7 +131,7 @@ def without_repeats(docs: DataFrame) -> tuple[DataFrame, str, str]:
     bitmaps = written(keep_bitmaps(docs), "keep-bitmaps")
     n_lines, n_dropped = unused_name(docs, "n_lines"), unused_name(docs, "n_dropped")
     keep, doc, tag = (unused_name(docs, name) for name in ("keep", "kept_id", "kept_tag"))
-    bitmaps = bitmaps.toDF(doc, tag, keep)
+    bitmaps = bitmaps.toDF(doc, tag, keep).hint("merge")
     same = (docs["doc_id"] == bitmaps[doc]) & (F.hash(docs["text"]) == bitmaps[tag])
     joined = docs.join(bitmaps, same, "left").select(
         *(docs[c].cast("binary").alias(c) if c == "text" else docs[c] for c in docs.columns), keep
