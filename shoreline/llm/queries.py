@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, linededup, simhash, substrings, toxicity
+from shoreline.llm import decontaminate, linededup, simhash, substrings, toxicity, urlfilter
 from shoreline.llm.common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,40 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     held_out = F.coalesce(toxicity.remainder(F.col("doc_id"), 5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+OP7_SQL = r"""
+WITH rules(rh, rp, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+page AS (
+  SELECT row_number() OVER () AS r, page_id,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+part AS (
+  SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM page
+),
+fit AS (
+  SELECT r, rh || rp AS rule, v, row_number() OVER (PARTITION BY r ORDER BY length(rh || rp) DESC) AS n
+  FROM part JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict
+FROM part LEFT JOIN (SELECT * FROM fit WHERE n = 1) USING (r)
+"""
+
+
+@query(OP7_SQL)
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged, names = urlfilter.judged(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", *(F.col(n).alias(w) for n, w in zip(names, ("host", "path", "rule", "verdict"))))
