@@ -1,0 +1,44 @@
+"""Exact top-k against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shoreline.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>, label int, v string, norm int"
+
+
+def brute(rows, k):
+    ok = [(i, [math.floor(64 * float(np.float32(x))) for x in e]) for i, e in rows if e is not None and all(x is not None and math.isfinite(x) for x in e)]
+    out, seen = [], {}
+    for i, e in ok:
+        if i is not None and i % 20 == 0:
+            seen[i] = min(seen.get(i, e), e)
+    for i, e in seen.items():
+        scores = sorted((-sum(a * b for a, b in zip(e, f)), j) for j, f in ok if j is not None and j != i)
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("sizes", [(2048, 512, 64), (7, 3, 2)])
+def test_cases(spark, monkeypatch, sizes):
+    for name, size in zip(("CANDIDATES", "QUERIES", "SLICE"), sizes):
+        monkeypatch.setattr(topk, name, size)
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.normal(size=30) * rng.lognormal()).tolist()) for i in range(150)]
+    rows += [(200 + i, [1.0] * 30) for i in range(30)]
+    rows += [(301, None), (302, [1.0, None]), (303, [float("nan")] * 30), (304, [float("inf")] * 30), (305, []), (306, [2.0]), (320, [0.0] * 30)]
+    rows += [(5, rows[5][1]), (40, rows[40][1]), (340, [1e4] * 30)]
+    frame = spark.createDataFrame([(i, e, 1, "v", 2) for i, e in rows], SCHEMA)
+    found = sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 20 == 0, k=8).collect()))
+    assert found == brute(rows, 8)
+
+
+def test_few_and_none(spark):
+    frame = spark.createDataFrame([(0, [1.0], 1, "v", 2), (1, [0.5], 1, "v", 2)], SCHEMA)
+    assert list(map(tuple, topk.top_k(frame, F.col("vec_id") % 20 == 0).collect())) == [(0, 1, 1, 2048)]
+    assert topk.top_k(frame.limit(0), F.col("vec_id") % 20 == 0).collect() == []
+    assert topk.top_k(frame, F.col("vec_id") > 5).collect() == []
