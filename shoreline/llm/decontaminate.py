@@ -173,4 +173,4 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with an item."""
     found = contamination(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.col("tag").alias("hit_tag"))
     same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(docs["text"]) == F.col("hit_tag"))
-    return docs.join(found.distinct(), same, "left_anti")
+    return docs.join(found.distinct().hint("merge"), same, "left_anti")

@@ -256,7 +256,7 @@ def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame
     the one with the smallest text stays.
     """
     found = near_duplicates(docs, radius, shingle)
-    leading = found.where("doc_id = component_id").select(F.col("doc_id").alias("leading_id")).distinct()
+    leading = found.where("doc_id = component_id").select(F.col("doc_id").alias("leading_id")).distinct().hint("merge")
     kept = docs.join(leading, docs["doc_id"] == leading["leading_id"]).select(docs["*"])
     first = F.min_by(F.struct(*docs.columns), F.col("text")).alias("row")
     return kept.groupBy("doc_id").agg(first).select("row.*").unionByName(docs.where("doc_id IS NULL"))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.llm.common import WordHashes, slices, windows_hash, written
+from shoreline.session import staged
 
 WINDOW = 20
 
@@ -197,30 +198,30 @@ def _by_document(places: DataFrame) -> DataFrame:
     return numbered.groupBy("found_id", "found_tag").agg(F.collect_list("number").alias("places"))
 
 
-def _level(rows: DataFrame, order: list[str], reducer) -> DataFrame:
+def _repeats(rows: DataFrame, keys: list[str], reducer) -> DataFrame:
     """``doc_id`` and ``place`` of what is repeated: known to a chunk, or found across chunks."""
-    rows = written(rows, "windows")
     open_rows = rows.where(f"kind = {_OPEN}").select("h1", "h2", "doc_id", "place")
-    across = open_rows.repartition("h1").sortWithinPartitions(*order).mapInArrow(reducer, "doc_id bigint, place bigint")
+    across = open_rows.repartition(*keys).sortWithinPartitions(*keys, "doc_id", "place")
+    across = across.mapInArrow(reducer, "doc_id bigint, place bigint")
     return rows.where(f"kind = {_KNOWN}").select("doc_id", "place").union(across)
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """``found_id``, ``found_tag`` and ``places``: starts of windows that stand earlier elsewhere."""
     tagged = _tagged(docs).where("doc_id IS NOT NULL")
-    halves = _level(tagged.mapInArrow(_half_windows(window, chunk_words), _ROWS), ["h1"], _repeated_halves)
-    alive = written(_by_document(halves), "halves")
+    with staged(tagged.mapInArrow(_half_windows(window, chunk_words), _ROWS), "half-windows") as rows:
+        alive = written(_by_document(_repeats(rows, ["h1"], _repeated_halves)), "halves")
     same = (tagged["doc_id"] == alive["found_id"]) & (tagged["tag"] == alive["found_tag"])
-    candidates = tagged.join(alive, same).select("doc_id", "tag", "text", "places")
-    whole = _level(candidates.mapInArrow(_full_windows(window, chunk_words), _ROWS), ["h1", "h2", "doc_id", "place"], _repeated_windows)
-    return written(_by_document(whole), "repeats")
+    candidates = tagged.join(alive.hint("merge"), same).select("doc_id", "tag", "text", "places")
+    with staged(candidates.mapInArrow(_full_windows(window, chunk_words), _ROWS), "windows") as rows:
+        return written(_by_document(_repeats(rows, ["h1", "h2"], _repeated_windows)), "repeats")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``kept``, the words that stay joined by a space."""
     tagged, found = _tagged(docs), repeated_windows(docs, window, chunk_words)
     same = (tagged["doc_id"] == found["found_id"]) & (tagged["tag"] == found["found_tag"])
-    joined = tagged.join(found, same, "left").select("doc_id", "text", "places")
+    joined = tagged.join(found.hint("merge"), same, "left").select("doc_id", "text", "places")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
