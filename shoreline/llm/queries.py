@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, linededup, simhash, substrings, topk, toxicity, urlfilter
+from shoreline.llm import decontaminate, linededup, simhash, substrings, topk, toxicity, urlfilter, warczip
 from shoreline.llm.common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,21 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 @query(OP6_SQL)
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP4_SQL = """
+WITH page AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT h, max(page_id) AS first_id FROM page GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> (15 - i % 4 * 5)) & 31) AS INTEGER) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id OR first_id IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM page JOIN firsts USING (h)
+"""
+
+
+@query(OP4_SQL)
+def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warczip.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
