@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, linededup, simhash, substrings, topk, toxicity, urlfilter, warczip
+from shoreline.llm import decontaminate, linededup, pagetext, simhash, substrings, topk, toxicity, urlfilter, warczip
 from shoreline.llm.common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +190,9 @@ FROM page JOIN firsts USING (h)
 def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warczip.archived(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pagetext.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
