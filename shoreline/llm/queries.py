@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, linededup, pagetext, simhash, substrings, topk, toxicity, urlfilter, warczip
+from shoreline.llm import decontaminate, linededup, mixing, pagetext, simhash, substrings, topk, toxicity, urlfilter, warczip
 from shoreline.llm.common import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,15 @@ def op4_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pagetext.main_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+#: Domains of the labelled rows and the shares of all tokens that they are to have.
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'poor' WHEN quality = 1 THEN 'good' END"
+DOMAIN_SHARES = {"good": 0.85, "poor": 0.1, "toxic": 0.05}
+
+
+@query()
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed, names = mixing.mixed(docs, table(spark, sf_dir, "labels"), DOMAIN_SHARES, F.expr(DOMAIN))
+    return mixed.select("doc_id", names["n_tokens"], *(names[d] for d in DOMAIN_SHARES), names["rate"])
