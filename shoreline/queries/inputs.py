@@ -8,15 +8,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoreline.session import scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a file stream; the pattern fits a file as well as a folder of files."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+#: Batches that a stream over a table arrives in, and one more without a record.
+BATCHES = 3
+
+
+def arrivals(spark: SparkSession, sf_dir: str, name: str, key: str, *, mixed: bool = False) -> DataFrame:
+    """A table as a stream of several batches, one file each, the last file without records.
+
+    A batch holds a range of the integer ``key``; with ``mixed`` every batch holds keys of the
+    whole range, so that the later ones bring records older than what is there.
+    """
+    rows = table(spark, sf_dir, name)
+    path = scratch_path(spark, "arriving")
+    top = rows.agg(F.max(key)).first()[0] or 0
+    chunk = F.col(key) % BATCHES if mixed else F.floor(F.col(key) * BATCHES / F.lit(top + 1))
+    rows.withColumn("chunk", chunk).repartition("chunk").write.partitionBy("chunk").parquet(path)
+    rows.limit(0).write.parquet(f"{path}/chunk={BATCHES}")
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{path}/chunk=*")
 
 
 def text_of(name: str) -> Column:

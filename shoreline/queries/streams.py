@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from shoreline.queries.inputs import FEED_SQL, feed, plain_feed, table_stream
+from shoreline.operators.offsets import starting_positions
+from shoreline.queries.inputs import BATCHES, FEED_SQL, arrivals, feed, plain_feed, table
 from shoreline.queries.registry import query
 from shoreline.session import scratch_path
 from shoreline.streaming.jobs import (
-    count_windows,
     current_counts,
-    drop_replays,
     keep_counts,
     land_raw,
     land_windowed_rows,
     land_windows,
+    land_without_replays,
     route_and_append,
     routed,
 )
@@ -37,30 +37,30 @@ def _finish(spark: SparkSession, writer: DataStreamWriter) -> None:
 @query(f"""
 WITH {FEED_SQL}
 SELECT topic, route, event_id, CASE WHEN NOT broken THEN 'ACCT-' || user_id END AS account,
-       CAST(NULL AS VARCHAR) AS card, CASE WHEN NOT broken THEN amount END AS amount, 0 AS batch_id
+       CAST(NULL AS VARCHAR) AS card, CASE WHEN NOT broken THEN amount END AS amount
 FROM routed
 """)
 def stream_route_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routed")
-    records = feed(table_stream(spark, sf_dir, "events"))
+    records = feed(arrivals(spark, sf_dir, "events", "event_id"))
     _finish(spark, route_and_append(routed(records, ROUTED_FIELDS), path))
     return spark.read.parquet(path).select(
-        "topic", "route", F.col("offset").alias("event_id"), "account", "card", "amount", "batch_id"
+        "topic", "route", F.col("offset").alias("event_id"), "account", "card", "amount"
     )
 
 
 @query(f"""
 WITH {FEED_SQL}
-SELECT topic, part AS partition, min(event_id) AS from_offset, max(event_id) + 1 AS until_offset, 0 AS batch_id
-FROM feed GROUP BY topic, part
+SELECT topic, part AS partition, min(event_id) AS from_offset, max(event_id) + 1 AS until_offset
+FROM feed GROUP BY topic, part, event_id * {BATCHES} // (SELECT max(event_id) + 1 FROM events)
 """)
 def stream_offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = scratch_path(spark, "ledger")
-    records = feed(table_stream(spark, sf_dir, "events"))
+    records = feed(arrivals(spark, sf_dir, "events", "event_id"))
     _finish(
         spark, route_and_append(routed(records, ROUTED_FIELDS), scratch_path(spark, "routed"), ledger_path=ledger)
     )
-    return spark.read.parquet(ledger).select("topic", "partition", "from_offset", "until_offset", "batch_id")
+    return spark.read.parquet(ledger).select("topic", "partition", "from_offset", "until_offset")
 
 
 @query(f"""
@@ -72,7 +72,7 @@ FROM feed f JOIN events e USING (event_id)
 """)
 def stream_raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "raw")
-    _finish(spark, land_raw(plain_feed(table_stream(spark, sf_dir, "events")), path))
+    _finish(spark, land_raw(plain_feed(arrivals(spark, sf_dir, "events", "event_id")), path))
     return spark.read.text(path).select("topic", F.col("value").alias("line"))
 
 
@@ -93,9 +93,10 @@ SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
 FROM placed GROUP BY ALL
 """)
 def stream_sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch brings records of all times; none of them is too late."""
     path = scratch_path(spark, "windows")
-    records = plain_feed(table_stream(spark, sf_dir, "events"))
-    _finish(spark, keep_counts(count_windows(records, late_by="10 minutes"), path))
+    records = plain_feed(arrivals(spark, sf_dir, "events", "event_id", mixed=True))
+    _finish(spark, keep_counts(records, path))
     return current_counts(spark.read.parquet(path)).select(
         F.date_format("window_start", SECONDS).alias("window_start"),
         F.date_format("window_end", SECONDS).alias("window_end"),
@@ -110,7 +111,7 @@ FROM placed p JOIN events e USING (event_id)
 """)
 def stream_window_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "window-rows")
-    records = plain_feed(table_stream(spark, sf_dir, "events"))
+    records = plain_feed(arrivals(spark, sf_dir, "events", "event_id"))
     _finish(spark, land_windowed_rows(records, path))
     return spark.read.parquet(path).select(
         "topic", F.date_format("window_start", SECONDS).alias("window_start"), "value"
@@ -130,21 +131,53 @@ FROM placed p JOIN events e USING (event_id)
 def stream_window_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text folder per window, here of two days so that the folders stay few."""
     path = scratch_path(spark, "window-text")
-    records = plain_feed(table_stream(spark, sf_dir, "events"))
+    records = plain_feed(arrivals(spark, sf_dir, "events", "event_id"))
     _finish(spark, land_windows(records, path, "2 days", "1 day"))
     return spark.read.text(path).select("topic", "window_start", "value")
 
 
 @query("SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, props FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event arrives twice and is kept once."""
+    """Every event arrives twice, in any order, and is kept once."""
     path = scratch_path(spark, "deduplicated")
-    twice = plain_feed(table_stream(spark, sf_dir, "events")).union(
-        plain_feed(table_stream(spark, sf_dir, "events"))
-    )
-    kept = drop_replays(twice, "offset", late_by="1 hour", spread=4)
-    writer = kept.writeStream.format("parquet").option("path", path)
-    _finish(spark, writer)
+    once, again = (plain_feed(arrivals(spark, sf_dir, "events", "event_id", mixed=mixed)) for mixed in (True, False))
+    _finish(spark, land_without_replays(once.union(again), path, "offset"))
     return spark.read.parquet(path).select(
         F.col("offset").alias("event_id"), F.col("key").alias("user_id"), F.col("value").alias("props")
     )
+
+
+@query(f"""
+WITH {FEED_SQL},
+part_of AS (
+  SELECT *, event_id * {BATCHES} // (SELECT max(event_id) + 1 FROM events) AS batch,
+    event_id * 2 < (SELECT max(event_id) + 1 FROM events) AS first_run
+  FROM feed
+),
+ranges AS (
+  SELECT topic, part, batch, first_run, min(event_id) AS from_offset, max(event_id) + 1 AS until_offset
+  FROM part_of GROUP BY ALL
+)
+SELECT topic, event_id, from_offset, until_offset FROM part_of JOIN ranges USING (topic, part, batch, first_run)
+""")
+def stream_restart_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events land; a query with a new checkpoint goes on where the ledger ends.
+
+    Each landed event comes back with the range of the ledger that it lies in.
+    """
+    path, ledger = scratch_path(spark, "routed"), scratch_path(spark, "ledger")
+    events = table(spark, sf_dir, "events")
+    top = events.agg(F.max("event_id")).first()[0] or 0
+
+    def land(records: DataFrame) -> None:
+        _finish(spark, route_and_append(routed(records, ROUTED_FIELDS), path, ledger_path=ledger))
+
+    land(feed(arrivals(spark, sf_dir, "events", "event_id")).where(F.col("offset") * 2 < top + 1))
+    known = feed(events).select("topic", "partition").distinct()
+    starts = F.broadcast(starting_positions(spark.read.parquet(ledger), known))  # a row per topic partition
+    again = feed(arrivals(spark, sf_dir, "events", "event_id")).join(starts, ["topic", "partition"])
+    land(again.where("offset >= start_offset").drop("start_offset"))
+    landed, ranges = spark.read.parquet(path), spark.read.parquet(ledger).drop("run_id", "batch_id")
+    inside = (F.col("offset") >= F.col("from_offset")) & (F.col("offset") < F.col("until_offset"))
+    both = landed.join(ranges, ["topic", "partition"]).where(inside)
+    return both.select("topic", F.col("offset").alias("event_id"), "from_offset", "until_offset")

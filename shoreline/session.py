@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -42,20 +41,9 @@ def build_session(app_name: str, overrides: dict[str, str] | None = None) -> Spa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
-
-    Only a local session that names none gets a temporary folder: there, driver and
-    executors share one machine. On a cluster an unset folder is an error, because a
-    machine-local path would be lost with the executor that wrote it.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="shoreline-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The folder all executors can reach: the cluster's checkpoint folder, else its warehouse's."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -70,9 +58,19 @@ def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        store, target = _store(spark, path)
+        store.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _store(spark, path)
+    return store.exists(target)
+
+
+def _store(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 @contextmanager

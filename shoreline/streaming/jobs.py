@@ -1,4 +1,7 @@
-"""The streaming jobs: raw landing, event routing, sliding windows and replay removal."""
+"""The streaming jobs: raw landing, event routing, sliding windows and replay removal.
+
+None keeps state between batches: what a batch needs of earlier ones it reads from their output.
+"""
 
 from __future__ import annotations
 
@@ -20,22 +23,22 @@ from shoreline.operators.events import (
     route_events,
 )
 from shoreline.operators.offsets import offset_ledger
-from shoreline.sources.records import narrow_schema
-from shoreline.streaming.sinks import BATCH_COLUMN, for_each_batch, write_batch
+from shoreline.session import path_exists
+from shoreline.streaming.sinks import BATCH_COLUMN, RUN_COLUMN, batch_fields, for_each_batch, run_identity, write_batch
 
 # The sliding window.
 WINDOW_LENGTH = "2 minutes"
 WINDOW_SLIDE = "1 minute"
 
 
-def land_raw(records: DataFrame, path: str) -> DataStreamWriter:
-    """Append every record as a text line below ``topic=<topic>``.
-
-    Spark's file sink lists finished files in its own log, so a batch that runs again adds
-    nothing twice.
-    """
+def land_raw(records: DataFrame, path: str, *, files: int | None = None) -> DataStreamWriter:
+    """Append every record as a text line below ``topic=<topic>``."""
     lines = records.select(record_text().alias("value"), "topic")
-    return lines.writeStream.format("text").option("path", path).partitionBy("topic")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, path, ["topic"], file_format="text", files=files)
+
+    return lines.writeStream.foreachBatch(handle)
 
 
 def routed(
@@ -48,11 +51,11 @@ def routed(
 ) -> DataFrame:
     """Topic, position, text, route and the named event fields of each record.
 
-    Only the fields that rules and ``fields`` name are parsed. ``extract_date`` is the date
-    of arrival; see :func:`shoreline.functions.stamps.arrival_date`.
+    Records are parsed by the whole schema, so a record's route does not depend on which
+    ``fields`` are picked. ``extract_date`` is the date of arrival; see
+    :func:`shoreline.functions.stamps.arrival_date`.
     """
-    needed = narrow_schema(schema, [*fields.values(), *[path for _, path in rules]])
-    events = route_events(parse_events(records, needed), "event", rules, default)
+    events = route_events(parse_events(records, schema), "event", rules, default)
     picked = [path_column(events, f"event.{path}").alias(name) for name, path in fields.items()]
     return events.select(
         "topic", "partition", "offset", "value", "route", arrival_date().alias("extract_date"), *picked
@@ -123,55 +126,59 @@ def land_windowed_rows(
     return rows.writeStream.foreachBatch(handle)
 
 
-def count_windows(
+def keep_counts(
     records: DataFrame,
+    path: str,
     *,
-    late_by: str,
     length: str = WINDOW_LENGTH,
     slide: str = WINDOW_SLIDE,
     by: Sequence[str] = ("topic",),
-) -> DataFrame:
-    """Records per window; state for a window goes once the watermark has passed it."""
-    return (
-        records.withWatermark("timestamp", late_by)
-        .groupBy(F.window("timestamp", length, slide), *by)
-        .agg(F.count(F.lit(1)).alias("records"))
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, "records")
-    )
-
-
-def keep_counts(counts: DataFrame, path: str, files: int = 4) -> DataStreamWriter:
-    """Write each batch's changed counts; :func:`current_counts` reads the newest ones.
+    files: int = 4,
+) -> DataStreamWriter:
+    """Write each batch's records per window; :func:`current_counts` sums them up.
 
-    Update mode sends a window as often as it grows and forgets it afterwards, where
-    complete mode would rewrite all windows ever seen with every batch.
+    A batch's counts stand on their own: nothing is kept between batches, so no record is
+    too late to be counted, and a batch that runs again replaces its own counts.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        placed = in_windows(batch, length, slide).groupBy("window_start", "window_end", *by)
         day = F.date_format("window_start", "yyyy-MM-dd").alias("window_date")
-        write_batch(batch.select("*", day), batch_id, path, ["window_date"], files=files)
+        counts = placed.agg(F.count(F.lit(1)).alias("records")).select("*", day)
+        write_batch(counts, batch_id, path, ["window_date"], files=files)
 
-    return counts.writeStream.outputMode("update").foreachBatch(handle)
+    return records.writeStream.foreachBatch(handle)
 
 
 def current_counts(written: DataFrame, keys: Sequence[str] = ("window_start", "window_end", "topic")) -> DataFrame:
-    """The count each window had last."""
-    return written.groupBy(*keys).agg(F.max_by("records", BATCH_COLUMN).alias("records"))
+    """The records of each window over all batches and runs."""
+    return written.groupBy(*keys).agg(F.sum("records").alias("records"))
 
 
-def drop_replays(
-    records: DataFrame, key: str, *, late_by: str, at: str = "timestamp", spread: int = 1
-) -> DataFrame:
-    """Keep one record per key among those that arrive within ``late_by`` of each other.
+def land_without_replays(
+    records: DataFrame, path: str, key: str, *, at: str = "timestamp", files: int | None = None
+) -> DataStreamWriter:
+    """Append records whose key has not landed for the same event date; however late they are.
 
-    With ``spread`` above 1 copies are first removed in that many groups by source task, so
-    that a key with very many copies does not meet in one task at full size.
+    Copies inside a batch are removed first, then those of which a copy landed before. Only
+    the event dates of the batch are read again, and only their keys. What the batch itself
+    wrote before a failure does not count, so it is written alike when it runs again. A copy
+    is a record with the same key and event date; two queries that run at the same time on
+    one path do not see each other's open batches.
     """
-    marked = records.withWatermark(at, late_by)
-    if spread > 1:
-        marked = (
-            marked.withColumn("_group", F.spark_partition_id() % spread)
-            .dropDuplicatesWithinWatermark([key, "_group"])
-            .drop("_group")
-        )
-    return marked.dropDuplicatesWithinWatermark([key])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, run_identity(batch)
+        dated = batch.withColumn("event_date", F.date_format(at, "yyyy-MM-dd"))
+        fresh = dated.dropDuplicates([key, "event_date"])
+        if path_exists(spark, path):
+            dates = [row.event_date for row in dated.select("event_date").distinct().toLocalIterator()]
+            own = (F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) == batch_id)
+            schema = StructType([*fresh.schema.fields, *batch_fields()])
+            landed = spark.read.schema(schema).parquet(path).where(F.col("event_date").isin(dates) & ~own)
+            landed = landed.select(F.col(key).alias("_key"), F.col("event_date").alias("_date"))
+            same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("event_date") == F.col("_date"))
+            fresh = fresh.join(landed, same, "left_anti")
+        write_batch(fresh, batch_id, path, ["event_date"], files=files)
+
+    return records.writeStream.foreachBatch(for_each_batch(handle))

@@ -8,8 +8,23 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField
 
 BATCH_COLUMN = "batch_id"
+RUN_COLUMN = "run_id"
+
+
+def run_identity(batch: DataFrame) -> str:
+    """The id of the streaming query at work, which its checkpoint keeps over restarts.
+
+    A batch handed over by hand, outside any stream, has none and counts as ``direct``.
+    """
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
+def batch_fields() -> list[StructField]:
+    """The columns that :func:`write_batch` adds."""
+    return [StructField(RUN_COLUMN, StringType()), StructField(BATCH_COLUMN, LongType())]
 
 
 def write_batch(
@@ -21,10 +36,11 @@ def write_batch(
     file_format: str = "parquet",
     files: int | None = None,
 ) -> None:
-    """Write below ``<partition columns>/batch_id=<n>``, replacing what that batch wrote before.
+    """Write below ``<partition columns>/run_id=<id>/batch_id=<n>``, replacing what that batch wrote.
 
     A batch that runs again after a failure reads the same records, so it replaces its own
-    folders and no others. That needs partition columns that do not change between runs:
+    folders and no others. A query with another checkpoint counts its batches from 0 again
+    but has another id: it adds to what is there. That needs partition columns that do not change between runs:
     take dates from the record or from the streaming plan, not from the clock in here.
 
     Rows are rebalanced by partition column: small ones share a task and a large one is
@@ -32,8 +48,8 @@ def write_batch(
     Spark turns off in stateful streams; there, tasks write what they hold. ``files`` spreads
     each partition over at most so many tasks and files instead; 1 makes a single file.
     """
-    columns = [*partition_by, BATCH_COLUMN]
-    keyed = batch.withColumn(BATCH_COLUMN, F.lit(batch_id))
+    columns = [*partition_by, RUN_COLUMN, BATCH_COLUMN]
+    keyed = batch.withColumns({RUN_COLUMN: F.lit(run_identity(batch)), BATCH_COLUMN: F.lit(batch_id)})
     if files:
         laid_out = keyed.repartition(*partition_by, F.pmod(F.xxhash64(*batch.columns), F.lit(files)))
     elif batch.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
