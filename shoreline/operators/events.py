@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from shoreline.sources.records import CORRUPT_FIELD, field_type, parse_json
+from shoreline.sources.records import CORRUPT_FIELD, field_type, is_one_document, parse_json, with_corrupt_field
 
 # The event layout.
 EVENT_SCHEMA = """
@@ -75,10 +75,16 @@ def parse_events(
 ) -> DataFrame:
     """Add the parsed record as one struct column; the text stays for the quarantine.
 
-    The one-element array makes Spark parse in an operator of its own. As a plain column, any
-    filter on the parsed fields would be pushed below it and parse every record once more.
+    A text with anything after its JSON document, or with a value that does not fit the
+    schema, is malformed as a whole: it has no fields, only its text. The one-element
+    array makes Spark parse in an operator of its own. As a plain column, any filter on the
+    parsed fields would be pushed below it and parse every record once more.
     """
-    return records.select("*", F.explode_outer(F.array(parse_json(value, schema))).alias(into))
+    both = F.struct(parse_json(value, schema).alias("event"), is_one_document(value).alias("whole"))
+    parsed = records.select("*", F.explode_outer(F.array(both)).alias(into))
+    corrupt = F.coalesce(F.col(f"{into}.event.{CORRUPT_FIELD}"), F.when(~F.col(f"{into}.whole"), F.col(value)))
+    without_fields = F.from_json(F.lit("{}"), with_corrupt_field(schema)).withField(CORRUPT_FIELD, corrupt)
+    return parsed.withColumn(into, F.when(corrupt.isNull(), F.col(f"{into}.event")).otherwise(without_fields))
 
 
 def route_of(
@@ -124,7 +130,13 @@ def flatten_struct(df: DataFrame, root: str, *, keep: Sequence[str] = (), prefix
     if not isinstance(struct, StructType):
         raise ValueError(f"{root} is no struct")
     leaves = [F.col(f"{root}.{path}").alias(prefix + path.replace(".", "_")) for path in _leaf_paths(struct)]
-    return df.select(*keep, *leaves)
+    return _accepted(df, root).select(*keep, *leaves)
+
+
+def _accepted(df: DataFrame, path: str) -> DataFrame:
+    """Without the records that are quarantined: wide rows and child tables hold none of them."""
+    corrupt = f"{path.split('.')[0]}.{CORRUPT_FIELD}"
+    return df if field_type(df.schema, corrupt) is None else df.where(F.col(corrupt).isNull())
 
 
 def _leaf_paths(struct: StructType, below: str = "") -> list[str]:
@@ -155,7 +167,7 @@ def explode_child(
         raise ValueError(f"{path} is no array")
     keys = parent_keys.items() if isinstance(parent_keys, Mapping) else [(key, key) for key in parent_keys]
     elements = F.posexplode_outer(path).alias(ordinal, "_element")
-    rows = df.select(*[F.col(source).alias(name) for name, source in keys], elements)
+    rows = _accepted(df, path).select(*[F.col(source).alias(name) for name, source in keys], elements)
     if not outer:
         # Dropping them afterwards keeps Spark from evaluating the array twice, once to
         # filter for elements and once to explode them.

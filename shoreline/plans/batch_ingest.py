@@ -21,10 +21,11 @@ from shoreline.sinks.tables import (
     IN_PROCESSING,
     STARTED,
     append_audit,
+    append_report,
     audit_row,
     write_report,
 )
-from shoreline.sources.delimited import read_compressed
+from shoreline.sources.delimited import MISFIT, read_checked, read_compressed
 from shoreline.sources.dialect import APOSTROPHE_DIALECT, Dialect
 
 SOURCE_ROWS = "_source_rows"
@@ -43,16 +44,22 @@ class IngestJob:
     report: str | None = None
     audit: str | None = None
     rows_per_file: int = DEFAULT_ROWS_PER_FILE
-    #: True: exactly ``rows // rows_per_file + 1`` files, for which the rows are counted
+    #: True: ``rows // rows_per_file + 1`` files (fewer if there are fewer rows), for which the rows are counted
     #: before they are written. False: no file exceeds ``rows_per_file``, and rows go to
     #: the target in the pass that deduplicates them.
-    exact_files: bool = True
+    exact_files: bool = False
     #: Write below ``extract_date=<stamp>`` and keep other extracts.
     stamp: str | None = None
     #: Spread the rows over so many tasks before deduplicating. For files that one task each
     #: must read (gzip, multi-line records); others are split anyway.
     spread: int | None = None
     dialect: Dialect = APOSTROPHE_DIALECT
+    #: Fields a record has; None takes the first line's width.
+    width: int | None = None
+    #: Where records of another width go, as Parquet with their text. None: they fail the job.
+    quarantine: str | None = None
+    #: One table that the reports of many jobs are added to.
+    reports: str | None = None
     timestamps: TimestampMode = BLANK_MODE
     casts: Mapping[str, str] | None = None
 
@@ -68,7 +75,8 @@ class IngestJob:
             settings["report"] = _path(properties, "REPORT_FILE")
         return IngestJob(
             source=_path(properties, "SRC_FILE"),
-            target=_path(properties, "TAR_FILE"),
+            # Without a name of its own the output is named as the source, so jobs never share one.
+            target=_path({"TAR_FILE_NM": properties["SRC_FILE_NM"], **_filled(properties)}, "TAR_FILE"),
             keys=_names(properties["Dedup_Key"]),
             order=_names(properties["Dedup_order_Key"]),
             time_columns=_names(properties.get("TIME_COLS") or ""),
@@ -83,6 +91,10 @@ def jobs_from(descriptors: DataFrame, **settings) -> list[IngestJob]:
     return [IngestJob.from_properties(row.asDict(), **settings) for row in descriptors.toLocalIterator()]
 
 
+def _filled(properties: Mapping[str, str]) -> dict[str, str]:
+    return {key: value for key, value in properties.items() if value}
+
+
 def _path(properties: Mapping[str, str], prefix: str) -> str:
     parts = [properties.get(f"{prefix}_PATH"), properties.get(f"{prefix}_NM")]
     return "/".join(part for part in parts if part)
@@ -94,11 +106,36 @@ def _names(text: str) -> tuple[str, ...]:
 
 def deduplicated(spark: SparkSession, job: IngestJob) -> DataFrame:
     """The job's rows with their source counts: one scan, one shuffle, nothing run yet."""
-    source = read_compressed(spark, job.source, job.dialect, partitions=job.spread)
+    source = _fitting(_source(spark, job), job)
     clean = canonical_timestamps(source, job.time_columns, job.timestamps)
     return latest_rows_counted(clean, job.keys, job.order, casts=job.casts, count_as=SOURCE_ROWS)
 
 
+def _source(spark: SparkSession, job: IngestJob) -> DataFrame:
+    if job.dialect.infer:
+        return read_compressed(spark, job.source, job.dialect, partitions=job.spread)
+    source = read_checked(spark, job.source, job.dialect, job.width)
+    return source.repartition(job.spread) if job.spread else source
+
+
+def _fitting(source: DataFrame, job: IngestJob) -> DataFrame:
+    """Records of the expected width; the others fail the job unless they have a place to go."""
+    if MISFIT not in source.columns:
+        return source
+    if job.quarantine:
+        return source.where(F.col(MISFIT).isNull()).drop(MISFIT)
+    message = F.concat(F.lit("a record has another width than expected: "), F.col(MISFIT))
+    checked = F.when(F.col(MISFIT).isNull(), F.col("_c0")).otherwise(F.raise_error(message).cast("string"))
+    return source.withColumn("_c0", checked).drop(MISFIT)
+
+
+def _keep_misfits(spark: SparkSession, job: IngestJob) -> None:
+    source = _source(spark, job)
+    if job.quarantine and MISFIT in source.columns:
+        kept = source.where(F.col(MISFIT).isNotNull()).select(F.col(MISFIT).alias("record"), F.col("_c0").alias("first_field"))
+        kept.write.mode("overwrite").parquet(job.quarantine)
+
+
 def run_ingest(spark: SparkSession, job: IngestJob) -> DataFrame:
     """Run one job and return its report.
 
@@ -107,10 +144,16 @@ def run_ingest(spark: SparkSession, job: IngestJob) -> DataFrame:
     _note(spark, job, STARTED)
     try:
         _note(spark, job, IN_PROCESSING)
-        rows = deduplicated(spark, job)
-        report = _write_sized(rows, job) if job.exact_files else _write_through(rows, job)
+        if _source(spark, job).columns:
+            _keep_misfits(spark, job)
+            rows = deduplicated(spark, job)
+            report = _write_sized(rows, job) if job.exact_files else _write_through(rows, job)
+        else:  # not even a first line
+            report = spark.createDataFrame([(job.name, 0, 0, 0)], REPORT_SCHEMA)
         if job.report:
             write_report(report, job.report)
+        if job.reports:
+            append_report(report, job.reports)
     except Exception as failure:
         _note(spark, job, FAILED, str(failure))
         raise

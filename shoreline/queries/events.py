@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.operators.events import (
-    EVENT_SCHEMA,
-    ROUTES,
     explode_child,
     flatten_struct,
     parse_events,
@@ -21,7 +19,7 @@ from shoreline.queries.registry import query
 from shoreline.session import scratch_path
 from shoreline.sources.delimited import schema_from_names
 from shoreline.sources.kafka import text_records
-from shoreline.sources.records import inferred_schema, narrow_schema, parse_json, read_json_records
+from shoreline.sources.records import inferred_schema, parse_json, read_json_records
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -74,10 +72,6 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(feed(table(spark, sf_dir, "events")))
 
 
-def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_events(feed(table(spark, sf_dir, "events")), narrow_schema(EVENT_SCHEMA, ["entities"]))
-
-
 @query(f"""
 WITH {FEED_SQL}
 SELECT event_id, topic, route,
@@ -93,8 +87,7 @@ def event_route(spark: SparkSession, sf_dir: str) -> DataFrame:
         "amount": "originatingEvent.internalAmount.value",
         "at": "originatingEvent.eventTime",
     }
-    needed = narrow_schema(EVENT_SCHEMA, [*fields.values(), *[path for _, path in ROUTES]])
-    routed = route_events(parse_events(feed(table(spark, sf_dir, "events")), needed))
+    routed = route_events(_parsed(spark, sf_dir))
     paths = {name: f"event.{path}" for name, path in fields.items()}
     named = project_paths(routed, {"event_id": "offset", "topic": "topic", "route": "route", **paths})
     return named.withColumn("event_time", F.date_format("at", MICROS)).drop("at")
@@ -131,7 +124,7 @@ SELECT event_id, CAST(ordinal AS INTEGER) AS ordinal, entity_type AS "entityType
 FROM entities
 """)
 def entities_child(spark: SparkSession, sf_dir: str) -> DataFrame:
-    child = explode_child(_entities(spark, sf_dir), "event.entities", {"event_id": "offset"})
+    child = explode_child(_parsed(spark, sf_dir), "event.entities", {"event_id": "offset"})
     return child.select("event_id", "ordinal", "entityType", "entityId", "riskStatus")
 
 
@@ -143,7 +136,7 @@ FROM entities JOIN (SELECT event_id AS id, event_type FROM events) e ON e.id = e
 JOIN (VALUES (0), (1), (2)) m(i) ON m.i < n_models
 """)
 def models_child(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entities = explode_child(_entities(spark, sf_dir), "event.entities", {"event_id": "offset"}, ordinal="entity")
+    entities = explode_child(_parsed(spark, sf_dir), "event.entities", {"event_id": "offset"}, ordinal="entity")
     models = explode_child(entities, "models", ["event_id", "entity"])
     return models.select("event_id", "entity", "ordinal", "modelId", "score", F.col("tags")[0].alias("tag"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shoreline.functions.stamps import base_name, dir_name
 from shoreline.functions.timestamps import SENTINEL_MODE
 from shoreline.operators.dedup import latest_rows
-from shoreline.plans.batch_ingest import IngestJob, run_ingest
+from shoreline.plans.batch_ingest import IngestJob, run_all, run_ingest
 from shoreline.plans.typed_ingest import load_by_schema_file, run_typed_ingest
 from shoreline.queries.inputs import LANDED_LINES_SQL, landed_lines, table, text_of
 from shoreline.queries.registry import query
@@ -111,12 +111,12 @@ def infer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_types(_named(read_delimited(spark, path, TYPED_DIALECT), *TYPED_ORDER_COLUMNS))
 
 
-@query(TYPED_ORDERS_SQL.format(extra=", '2019-03-22_14_50_41' AS extract_date"))
+@query(TYPED_ORDERS_SQL.format(extra=", '2021-06-15_08_05_30' AS extract_date"))
 def typed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compressed and typed on the way in, dated on the way out, read back with its types."""
     source, target = scratch_path(spark, "orders-gz"), scratch_path(spark, "orders-dated")
     write_delimited(_typed_orders(spark, sf_dir), source, max_rows_per_file=1_000_000, compression="gzip")
-    run_typed_ingest(spark, source, target, stamp="2019-03-22_14_50_41")
+    run_typed_ingest(spark, source, target, stamp="2021-06-15_08_05_30")
     back = read_delimited(spark, target, TYPED_DIALECT)
     return _with_types(_named(back, *TYPED_ORDER_COLUMNS, "extract_date"), "extract_date")
 
@@ -148,12 +148,23 @@ def dated_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named(read_delimited(spark, path), "o_orderkey", "o_orderstatus", "extract_date")
 
 
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, '2019-01-01_00_00_00' AS extract_date FROM orders")
+def dated_extract_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract that has no rows any more is empty after it runs again; the other one stays."""
+    path = scratch_path(spark, "extracts")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    for stamp in ("2019-01-01_00_00_00", "2019-01-02_03_04_05"):
+        write_dated(orders, path, stamp)
+    write_dated(orders.where(F.lit(False)), path, "2019-01-02_03_04_05")
+    return _named(read_delimited(spark, path), "o_orderkey", "extract_date")
+
+
 @query("""
 WITH keys AS (SELECT count(*) AS n FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))
 SELECT rows_per_file, n AS rows, n // rows_per_file + 1 AS expected_files, n // rows_per_file + 1 AS files
 FROM (SELECT n, 10000000 AS rows_per_file FROM keys
-      UNION ALL SELECT n, greatest(20000, n // 500) FROM keys
-      UNION ALL SELECT n, greatest(10000, n // 1000) FROM keys)
+      UNION ALL SELECT n, 20000 FROM keys
+      UNION ALL SELECT n, 10000 FROM keys)
 """)
 def file_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_rows(
@@ -164,7 +175,7 @@ def file_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = None
     with staged(latest, "sizing") as rows:
         count = rows.count()
-        for rows_per_file in (DEFAULT_ROWS_PER_FILE, max(20_000, count // 500), max(10_000, count // 1000)):
+        for rows_per_file in (DEFAULT_ROWS_PER_FILE, 20_000, 10_000):
             files = file_count(count, rows_per_file)
             path = scratch_path(spark, "sized")
             write_delimited(into_files(rows, files), path)
@@ -214,15 +225,15 @@ QUALIFY row_number() OVER (
 @query(LATEST_LINES_SQL.format(extra=""))
 def batch_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed text to deduplicated text in a given number of files."""
-    job = _lines_job(spark, sf_dir)
+    job = _lines_job(spark, sf_dir, exact_files=True)
     run_ingest(spark, job)
     return _named(read_delimited(spark, job.target, job.dialect, positional_schema(7)), *LINE_COLUMNS)
 
 
-@query(LATEST_LINES_SQL.format(extra=", '2019-03-22_14_50_41' AS extract_date"))
+@query(LATEST_LINES_SQL.format(extra=", '2021-06-15_08_05_30' AS extract_date"))
 def batch_ingest_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same below a dated folder, written in the pass that deduplicates."""
-    job = _lines_job(spark, sf_dir, exact_files=False, stamp="2019-03-22_14_50_41")
+    job = _lines_job(spark, sf_dir, exact_files=False, stamp="2021-06-15_08_05_30")
     run_ingest(spark, job)
     return _named(read_delimited(spark, job.target, job.dialect), *LINE_COLUMNS, "extract_date")
 
@@ -239,6 +250,70 @@ def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_ingest(spark, _lines_job(spark, sf_dir, exact_files=False))
 
 
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 16 < 2 THEN 'aside' ELSE 'kept' END AS place FROM orders
+""")
+def ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a field more or a field less than the others are put aside whole, none is cut."""
+    source = scratch_path(spark, "ragged")
+    sep = APOSTROPHE_DIALECT.sep
+    kind = F.col("o_orderkey") % 16
+    names = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey"]
+    line = F.when(kind == 0, F.col("o_orderkey").cast("string")).when(kind == 1, F.concat_ws(sep, *names))
+    line = line.otherwise(F.concat_ws(sep, *names[:3]))
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(source)
+    job = IngestJob(
+        source=source, target=scratch_path(spark, "kept"), keys=("_c0",), order=("_c1",), width=3, quarantine=scratch_path(spark, "aside")
+    )
+    run_ingest(spark, job)
+    kept = read_delimited(spark, job.target, job.dialect, positional_schema(3)).select(F.col("_c0").alias("o_orderkey"), F.lit("kept").alias("place"))
+    aside = spark.read.parquet(job.quarantine).select(F.split_part("record", F.lit(sep), F.lit(1)).alias("o_orderkey"), F.lit("aside").alias("place"))
+    return kept.union(aside)
+
+
+@query("""
+SELECT 'orders_data.dsv' AS file, count(*) AS dedup_count, count(*) AS source_count, CAST(0 AS BIGINT) AS duplicate_count FROM orders
+UNION ALL SELECT 'empty_data.dsv', 0, 0, 0
+""")
+def empty_source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file without a byte has a report of no rows beside that of a file with rows."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    reports = None
+    for name, rows in (("orders_data.dsv", orders), ("empty_data.dsv", orders.where(F.lit(False)))):
+        source = scratch_path(spark, "landed")
+        write_delimited(rows, source, APOSTROPHE_DIALECT)
+        job = IngestJob(source=source, target=scratch_path(spark, "ingested"), keys=("_c0",), order=("_c1",), name=name)
+        report = run_ingest(spark, job)
+        reports = report if reports is None else reports.union(report)
+    return reports
+
+
+@query("""
+SELECT 'lines_' || l_returnflag || l_linestatus AS job, count(*) AS statuses, any_value(n) AS dedup_count
+FROM (SELECT l_returnflag, l_linestatus, count(DISTINCT (l_partkey, l_suppkey)) AS n FROM lineitem GROUP BY ALL),
+     (VALUES (1), (2), (3)) s(status)
+GROUP BY l_returnflag, l_linestatus
+""")
+def ingest_many_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job per flag and status, run together, with one audit trail and one report table."""
+    lines = table(spark, sf_dir, "lineitem")
+    source = scratch_path(spark, "landed")
+    name = F.concat(F.lit("lines_"), "l_returnflag", "l_linestatus").alias("name")
+    line = F.concat_ws(APOSTROPHE_DIALECT.sep, "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber").alias("value")
+    lines.select(name, line).write.partitionBy("name").text(source)
+    audit, reports = scratch_path(spark, "audit"), scratch_path(spark, "reports")
+    jobs = [
+        IngestJob(f"{source}/name={r.name}", scratch_path(spark, r.name), ("_c0", "_c1"), ("_c2", "_c3"), name=r.name, audit=audit, reports=reports)
+        for r in lines.select(name).distinct().collect()
+    ]
+    for job, outcome in run_all(spark, jobs):
+        if isinstance(outcome, Exception):
+            raise outcome
+    trail = spark.read.parquet(audit).groupBy("job").agg(F.count_distinct("status").alias("statuses"))
+    found = spark.read.parquet(reports).select(F.col("file").alias("job"), "dedup_count")
+    return trail.join(found, "job")
+
+
 @query("""
 SELECT 'lineitem_data.dsv' AS job, status, CAST(NULL AS VARCHAR) AS error,
        CASE WHEN status = 'Completed' THEN (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))

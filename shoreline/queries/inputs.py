@@ -137,7 +137,7 @@ feed AS (
   SELECT event_id, user_id, event_type, value AS amount, ts,
     CASE WHEN event_type IN ('click', 'view') THEN 'browse' ELSE 'account' END AS topic,
     CAST(user_id % 4 AS INTEGER) AS part,
-    event_id % 50 = 49 AS broken,
+    event_id % 50 >= 47 AS broken,
     CASE WHEN event_type = 'purchase' THEN 'CB' || event_id END AS chargeback_id,
     CASE WHEN event_type = 'error' OR (event_type = 'purchase' AND event_id % 10 = 0)
          THEN 'FR' || event_id END AS fraud_id
@@ -161,7 +161,11 @@ entities AS (
 
 
 def feed(events: DataFrame) -> DataFrame:
-    """Records of two topics; values without closing brackets are the malformed ones."""
+    """Records of two topics.
+
+    Malformed are those without closing brackets, with two documents in one text, and with a
+    number that is none.
+    """
     event_id = F.col("event_id").cast("string")
     event_time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     kind, number = F.col("event_type"), F.col("event_id")
@@ -206,7 +210,13 @@ def feed(events: DataFrame) -> DataFrame:
             F.when(kind == "signup", F.slice(both, 1, 0)).otherwise(both).alias("entities"),
         )
     )
-    return _as_records(events, F.when(number % 50 == 49, F.rtrim(record, F.lit("}"))).otherwise(record))
+    value = (
+        F.when(number % 50 == 49, F.rtrim(record, F.lit("}")))
+        .when(number % 50 == 48, F.concat(record, record))
+        .when(number % 50 == 47, F.replace(record, F.lit('"jsonVersion":1'), F.lit('"jsonVersion":"one"')))
+        .otherwise(record)
+    )
+    return _as_records(events, value)
 
 
 def plain_feed(events: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,16 @@ def write_report(report: DataFrame, path: str) -> None:
 
 def append_report(report: DataFrame, path: str) -> None:
     """Add to one report table over many jobs."""
-    report.write.mode("append").parquet(path)
+    _append(report, path)
+
+
+def _append(rows: DataFrame, path: str) -> None:
+    """Write to a folder of its own below ``path``.
+
+    Jobs that append to one folder at the same time would share its temporary files and
+    remove each other's.
+    """
+    rows.coalesce(1).write.parquet(f"{path.rstrip('/')}/entry={uuid.uuid4().hex}")
 
 
 def audit_row(
@@ -34,11 +45,18 @@ def audit_row(
 
 
 def append_audit(audit: DataFrame, path: str) -> None:
-    audit.coalesce(1).write.mode("append").parquet(path)
+    """Add to the audit trail. What goes wrong here is a warning: it must not decide over a job."""
+    try:
+        _append(audit, path)
+    except Exception as failure:
+        warnings.warn(f"audit row not written to {path}: {failure}", stacklevel=2)
 
 
 def typed_columns(df: DataFrame, schema: StructType | str) -> DataFrame:
-    """Name and cast positional columns by a schema of the same width; misfits become null."""
+    """Name and cast positional columns by a schema of the same width; misfits become null.
+
+    :func:`misfits` counts them.
+    """
     struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     if len(struct) != len(df.columns):
         raise ValueError(f"the schema has {len(struct)} columns, the data {len(df.columns)}")
@@ -47,6 +65,15 @@ def typed_columns(df: DataFrame, schema: StructType | str) -> DataFrame:
     )
 
 
+def misfits(df: DataFrame, schema: StructType | str) -> DataFrame:
+    """Per declared column, how many values :func:`typed_columns` makes null for not fitting."""
+    typed = typed_columns(df, schema)
+    pairs = zip(df.columns, typed.schema)
+    return df.select(
+        *[F.count_if(F.col(have).isNotNull() & F.col(have).try_cast(f.dataType).isNull()).alias(f.name) for have, f in pairs]
+    )
+
+
 def load_table(df: DataFrame, table: str, schema: StructType | str, path: str | None = None) -> None:
     """Drop the table and create it anew as Parquet, holding ``df`` with the schema's types."""
     writer = typed_columns(df, schema).write.mode("overwrite").format("parquet")

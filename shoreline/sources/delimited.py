@@ -8,6 +8,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from shoreline.sources.dialect import BEL_DIALECT, Dialect
 
 
+#: Column that holds records of another width than expected.
+MISFIT = "_misfit"
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -26,6 +30,23 @@ def read_delimited(
     return reader.csv(path)
 
 
+def read_checked(
+    spark: SparkSession, path: str | list[str], dialect: Dialect = BEL_DIALECT, width: int | None = None
+) -> DataFrame:
+    """Text columns ``_c0 .. _cN`` and ``_misfit``: a record's whole text where its width is another.
+
+    Without ``width`` the first line's is expected; an empty source then has no columns. A
+    record that is wider or narrower is never cut or filled silently: its ``_misfit`` says so.
+    """
+    if width is None:
+        width = len(read_delimited(spark, path, dialect).columns)
+    if not width:
+        return spark.createDataFrame([], StructType([]))
+    schema = StructType([*positional_schema(width).fields, StructField(MISFIT, StringType(), True)])
+    options = {**dialect.read_options(), "columnNameOfCorruptRecord": MISFIT, "columnPruning": "false"}
+    return spark.read.options(**options).schema(schema).csv(path)
+
+
 def read_compressed(
     spark: SparkSession,
     path: str | list[str],

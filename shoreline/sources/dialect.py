@@ -20,8 +20,6 @@ class Dialect:
     trim: bool = True
     infer: bool = False
     timestamp_format: str | None = None
-    #: Share of the rows that type inference looks at; only used with ``infer``.
-    sampling_ratio: float = 1.0
     #: A record separator other than the line feed keeps files with embedded line feeds
     #: splittable, which ``multiline`` does not.
     record_sep: str | None = None
@@ -46,7 +44,7 @@ class Dialect:
             "multiLine": str(self.multiline).lower(),
         }
         if self.infer:
-            options |= {"inferSchema": "true", "samplingRatio": str(self.sampling_ratio)}
+            options["inferSchema"] = "true"
         return options
 
     def write_options(self) -> dict[str, str]:

@@ -2,40 +2,62 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
-
-from shoreline.session import scratch_folder
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
 
 CORRUPT_FIELD = "_corrupt_record"
-RECORD_SEPARATOR = "\u001e"
 
 
 def read_json_records(
-    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, sampling_ratio: float = 1.0
+    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None
 ) -> DataFrame:
-    """Read JSON lines. Without ``schema`` Spark infers one in a pass of its own."""
+    """Read JSON lines. Without ``schema`` Spark infers one from all records, in a pass of its own."""
     reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT_FIELD)
-    if schema is None:
-        return reader.option("samplingRatio", sampling_ratio).json(path)
-    return reader.schema(with_corrupt_field(schema)).json(path)
+    return reader.json(path) if schema is None else reader.schema(with_corrupt_field(schema)).json(path)
 
 
-def inferred_schema(records: DataFrame, value: str = "value", sampling_ratio: float = 1.0) -> StructType:
-    """The schema Spark infers from the JSON texts of a column.
+def inferred_schema(records: DataFrame, value: str = "value") -> StructType:
+    """A schema that holds all JSON texts of a column, found by one aggregation over them.
 
-    A job of its own, to find the fixed schema that parsing then uses. Texts go through a
-    file with a record separator that JSON text cannot hold unescaped.
+    A job of its own, to find the fixed schema that parsing then uses. Texts that are no JSON
+    object do not count.
     """
-    spark = records.sparkSession
-    with scratch_folder(spark, "json") as path:
-        records.select(value).filter(F.col(value).isNotNull()).write.option("lineSep", RECORD_SEPARATOR).text(path)
-        reader = spark.read.option("lineSep", RECORD_SEPARATOR).option("columnNameOfCorruptRecord", CORRUPT_FIELD)
-        schema = reader.option("samplingRatio", sampling_ratio).json(path).schema
-    return StructType([field for field in schema if field.name != CORRUPT_FIELD])
+    objects = records.where(F.ltrim(value).startswith("{")).select(F.col(value).alias("value"))
+    found = objects.select(F.expr("schema_of_variant_agg(try_parse_json(value))")).first()[0] or ""
+    if not found.startswith("OBJECT<"):
+        return StructType([])
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
+    return _plain(StructType.fromDDL(f"record {ddl}")["record"].dataType)
+
+
+def _plain(kind: DataType) -> DataType:
+    """Text where types disagree or nothing but null was seen, and floating point for decimals."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _plain(f.dataType), True) for f in kind])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_plain(kind.elementType), True)
+    if isinstance(kind, DecimalType):
+        return DoubleType()
+    return StringType() if isinstance(kind, (VariantType, NullType)) else kind
+
+
+def is_one_document(text: Column | str) -> Column:
+    """Whether a text is one JSON document with nothing after it."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
 
 
 def parse_json(text: Column | str, schema: StructType | str) -> Column:

@@ -51,7 +51,7 @@ def output(spark, job):
 
 
 def test_from_descriptor_to_files_and_report(spark, properties, tmp_path):
-    job = IngestJob.from_properties(properties, audit=str(tmp_path / "audit"))
+    job = IngestJob.from_properties(properties, audit=str(tmp_path / "audit"), exact_files=True)
     assert job.dialect.multiline and job.rows_per_file == 2 and job.keys == ("_c0", "_c1")
     report = run_ingest(spark, job)
     assert report.collect() == [("pay_data.dsv", 3, 5, 2)]
@@ -83,9 +83,41 @@ def test_dated_extracts_stay_side_by_side(spark, properties):
 
 def test_empty_source(spark, properties, tmp_path):
     (tmp_path / "in" / "pay_data.dsv").write_text("")
-    job = IngestJob.from_properties(properties)
-    with pytest.raises(Exception):
-        run_ingest(spark, job)
+    for settings in ({}, {"exact_files": True}, {"width": 5}):
+        report = run_ingest(spark, IngestJob.from_properties(properties, **settings))
+        assert report.collect() == [("pay_data.dsv", 0, 0, 0)]
+
+
+def test_records_of_another_width(spark, properties, tmp_path):
+    wider, narrower = ROWS[2] + "\u0007more", "p9\u0007l9"
+    (tmp_path / "in" / "pay_data.dsv").write_text("\n".join([*ROWS, wider, narrower]) + "\n")
+    with pytest.raises(Exception, match="another width"):
+        run_ingest(spark, IngestJob.from_properties(properties))
+    job = IngestJob.from_properties(properties, quarantine=str(tmp_path / "aside"))
+    assert run_ingest(spark, job).collect() == [("pay_data.dsv", 3, 5, 2)]
+    assert output(spark, job) == LATEST
+    assert sorted(r.record.strip() for r in spark.read.parquet(job.quarantine).collect()) == sorted([wider, narrower])
+
+
+def test_targets_do_not_collide(properties):
+    properties = {**properties, "TAR_FILE_NM": ""}
+    names = {IngestJob.from_properties({**properties, "SRC_FILE_NM": name}).target for name in ("a", "b")}
+    assert len(names) == 2
+
+
+def test_jobs_share_audit_and_report_tables(spark, properties, tmp_path):
+    audit, reports = str(tmp_path / "audit"), str(tmp_path / "reports")
+    jobs = [IngestJob.from_properties({**properties, "TAR_FILE_NM": f"out{i}", "REPORT_FILE_NM": f"r{i}"}, audit=audit, reports=reports) for i in range(16)]
+    assert all(not isinstance(r, Exception) for _, r in run_all(spark, jobs))
+    assert spark.read.parquet(audit).where("status = 'Completed'").count() == 16
+    assert spark.read.parquet(reports).count() == 16
+
+
+def test_a_failing_audit_does_not_fail_the_job(spark, properties, tmp_path):
+    (tmp_path / "file").write_text("")
+    job = IngestJob.from_properties(properties, audit=str(tmp_path / "file" / "audit"))
+    with pytest.warns(UserWarning, match="audit"):
+        assert run_ingest(spark, job).first().dedup_count == 3
 
 
 def test_failure_is_noted_and_raised(spark, properties, tmp_path):

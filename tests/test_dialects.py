@@ -80,3 +80,9 @@ def test_compressed_files_are_read_and_spread(spark, tmp_path):
 def test_schemas(spark):
     assert positional_schema(3).names == ["_c0", "_c1", "_c2"]
     assert schema_from_names("a b  c").simpleString() == "struct<a:string,b:string,c:string>"
+
+
+def test_unquoted_output_refuses_what_it_cannot_hold(spark, tmp_path):
+    for text in ("a\u0007b", "a\nb"):
+        with pytest.raises(Exception, match="needs a dialect with quotes"):
+            write_delimited(spark.createDataFrame([(text,)], "x string"), str(tmp_path / "out"), UNQUOTED_DIALECT)
