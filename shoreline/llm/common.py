@@ -17,7 +17,7 @@ from shoreline.session import scratch_path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Texts are handed to Python in slices of about this many bytes, however long one text is.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 #: Words whose hashes a task remembers before it starts over; bounds its memory.
 REMEMBERED_WORDS = 1 << 18
