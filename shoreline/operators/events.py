@@ -135,8 +135,10 @@ def flatten_struct(df: DataFrame, root: str, *, keep: Sequence[str] = (), prefix
 
 def _accepted(df: DataFrame, path: str) -> DataFrame:
     """Without the records that are quarantined: wide rows and child tables hold none of them."""
-    corrupt = f"{path.split('.')[0]}.{CORRUPT_FIELD}"
-    return df if field_type(df.schema, corrupt) is None else df.where(F.col(corrupt).isNull())
+    root = path.split(".")[0]
+    if field_type(df.schema, f"{root}.{CORRUPT_FIELD}") is None:
+        return df
+    return df.where(F.col(root).isNotNull() & F.col(f"{root}.{CORRUPT_FIELD}").isNull())
 
 
 def _leaf_paths(struct: StructType, below: str = "") -> list[str]:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from shoreline.functions.stamps import base_name, dir_name, joined_path
+from shoreline.session import scratch_path
 
 # How companion names are formed from a data file's name.
 SCHEMA_PREFIX = "PROD4."
@@ -40,29 +40,38 @@ def number_files(files: DataFrame) -> DataFrame:
     """Add ``tbl_id``: the file's place in path order, followed by ``00``.
 
     Places come from the sizes of the range-sorted partitions, so no task sees all files, as
-    the one of an unpartitioned window would. Counting those sizes runs a job here.
+    the one of an unpartitioned window would. The rows are written once between; only a count
+    per partition is brought together.
     """
-    schema = StructType([*files.schema.fields, StructField("_place", LongType(), False)])
-    placed = files.sort("path").rdd.zipWithIndex().map(lambda entry: (*entry[0], entry[1] + 1))
-    numbered = files.sparkSession.createDataFrame(placed, schema)
-    return numbered.withColumn("tbl_id", F.concat(F.col("_place").cast("string"), F.lit(TABLE_ID_SUFFIX))).drop("_place")
+    spark = files.sparkSession
+    path = scratch_path(spark, "numbered")
+    ranged = files.repartitionByRange("path").sortWithinPartitions("path").withColumn("_part", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    counts = rows.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(upto), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("path")) + F.col("_before")
+    numbered = rows.join(F.broadcast(counts.drop("count")), "_part").withColumn("_place", place)
+    return numbered.withColumn("tbl_id", F.concat(F.col("_place").cast("string"), F.lit(TABLE_ID_SUFFIX))).drop(
+        "_place", "_part", "_before"
+    )
 
 
 def match_companions(landed: DataFrame) -> DataFrame:
     """Data files with ``has_schema`` and ``has_stats``: whether each expected partner landed.
 
-    ``landed`` is the inventory of :func:`shoreline.sources.landing.list_landed`. Partners
-    are matched by name, wherever below the root they lie.
+    ``landed`` is the inventory of :func:`shoreline.sources.landing.list_landed`. A partner
+    lies in the data file's own folder. A name too short to name a table expects no schema.
     """
     data = derive_names(landed.filter(F.col("kind") == "data"))
     for kind in ("schema", "stats"):
         partners = (
             landed.filter(F.col("kind") == kind)
-            .select(base_name("path").alias(f"{kind}_name"))
+            .select(dir_name("path").alias("folder"), base_name("path").alias(f"{kind}_name"))
             .distinct()
             .withColumn(f"has_{kind}", F.lit(True))
         )
-        data = data.join(partners, f"{kind}_name", "left").withColumn(
+        data = data.join(partners, ["folder", f"{kind}_name"], "left").withColumn(
             f"has_{kind}", F.coalesce(f"has_{kind}", F.lit(False))
         )
     return data
@@ -84,3 +93,17 @@ def job_table(data_files: DataFrame, source_path: str | None = None, target_path
         F.col("table_name").alias("TBL_NAME"),
         joined_path(source, "file_name").alias("source_file"),
     )
+
+
+def with_settings(jobs: DataFrame, settings: DataFrame) -> DataFrame:
+    """Job descriptions with the settings of their tables, ready for ``batch_ingest.jobs_from``.
+
+    ``settings`` has ``TBL_NAME`` and any descriptor columns (``Dedup_Key``, ``TIME_COLS``, ...).
+    Of columns that both have, the settings' value counts where it is given. A file whose
+    table has no settings has no keys to deduplicate by and is left out.
+    """
+    named = settings.select("TBL_NAME", *[F.col(c).alias(f"_set_{c}") for c in settings.columns if c != "TBL_NAME"])
+    both = jobs.join(named, "TBL_NAME")
+    merged = [F.coalesce(F.col(f"_set_{c}"), F.col(c)).alias(c) if c in settings.columns and c != "TBL_NAME" else F.col(c) for c in jobs.columns]
+    added = [F.col(f"_set_{c}").alias(c) for c in settings.columns if c not in jobs.columns]
+    return both.select(*merged, *added)

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from shoreline.functions.stamps import base_name, dir_name
 from shoreline.functions.timestamps import SENTINEL_MODE
 from shoreline.operators.dedup import latest_rows
-from shoreline.plans.batch_ingest import IngestJob, run_all, run_ingest
+from shoreline.operators.manifest import job_table, match_companions, with_settings
+from shoreline.plans.batch_ingest import IngestJob, jobs_from, run_all, run_ingest
 from shoreline.plans.typed_ingest import load_by_schema_file, run_typed_ingest
 from shoreline.queries.inputs import LANDED_LINES_SQL, landed_lines, table, text_of
 from shoreline.queries.registry import query
-from shoreline.session import scratch_path, staged
+from shoreline.session import move_file, scratch_path, staged
 from shoreline.sinks.delimited import DEFAULT_ROWS_PER_FILE, file_count, into_files, write_dated, write_delimited
 from shoreline.sources.delimited import positional_schema, read_compressed, read_delimited
 from shoreline.sources.dialect import APOSTROPHE_DIALECT, BEL, BEL_DIALECT, TYPED_DIALECT, UNQUOTED_DIALECT
@@ -314,6 +315,36 @@ def ingest_many_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trail.join(found, "job")
 
 
+@query("""
+SELECT 'LINES_' || l_returnflag AS name, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS supplier,
+       CAST(l_orderkey AS VARCHAR) AS order_no
+FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_returnflag, l_partkey, l_suppkey ORDER BY CAST(l_orderkey AS VARCHAR) DESC) = 1
+""")
+def landing_to_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by return flag, from the inventory over manifest, settings and jobs to their outputs."""
+    root, target = scratch_path(spark, "landing"), scratch_path(spark, "ingested")
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_suppkey", "l_orderkey")
+    flags = [r.l_returnflag for r in lines.select("l_returnflag").distinct().collect()]
+    for flag in flags:
+        one = scratch_path(spark, "one")
+        write_delimited(lines.where(F.col("l_returnflag") == flag).drop("l_returnflag").coalesce(1), one, APOSTROPHE_DIALECT)
+        (file,) = spark.read.text(one).inputFiles()
+        move_file(spark, file, f"{root}/{flag}/ab_cd_LINES_{flag}_20210101_120000_001_data.dsv")
+    settings = spark.createDataFrame(
+        [(f"LINES_{flag}", "_c0,_c1", "_c2") for flag in flags], "TBL_NAME string, Dedup_Key string, Dedup_order_Key string"
+    )
+    described = with_settings(job_table(match_companions(list_landed(spark, root)), target_path=target), settings)
+    found = None
+    for job, outcome in run_all(spark, jobs_from(described)):
+        if isinstance(outcome, Exception):
+            raise outcome
+        rows = _named(read_delimited(spark, job.target, job.dialect, positional_schema(3)), "part", "supplier", "order_no")
+        rows = rows.withColumn("name", F.regexp_extract(F.lit(job.name), "ab_cd_(LINES_.)_", 1))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query("""
 SELECT 'lineitem_data.dsv' AS job, status, CAST(NULL AS VARCHAR) AS error,
        CASE WHEN status = 'Completed' THEN (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))

@@ -226,7 +226,7 @@ FROM supplier
 """)
 def properties_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["SRC_FILE_PATH", "SRC_FILE_NM", "TBL_NAME", "TIME_COLS", "Dedup_Key", "PART_CAL_VAL"]
-    return job_properties(_supplier_descriptors(spark, sf_dir), "|", keys)
+    return job_properties(_supplier_descriptors(spark, sf_dir), "|", keys).drop("properties")
 
 
 @query("""
@@ -269,7 +269,7 @@ named AS (
     CASE WHEN p_partkey % 10 = 9 THEN NULL ELSE tbl END AS table_name
   FROM names
 ),
-with_schema AS (SELECT DISTINCT tbl FROM named WHERE p_size > 45)
+with_schema AS (SELECT DISTINCT folder, tbl FROM named WHERE p_size > 45)
 """
 
 
@@ -277,7 +277,7 @@ with_schema AS (SELECT DISTINCT tbl FROM named WHERE p_size > 45)
 WITH {LANDED_PARTS_SQL}
 SELECT row_number() OVER (ORDER BY path) || '00' AS tbl_id, stem || '_data.dsv' AS file_name,
        table_name, 'PROD4.' || table_name || '.schema' AS schema_name, stem || '.stats' AS stats_name,
-       coalesce(table_name IN (SELECT tbl FROM with_schema), false) AS has_schema,
+       EXISTS (SELECT 1 FROM with_schema w WHERE w.folder = named.folder AND w.tbl = named.table_name) AS has_schema,
        p_size > 10 AS has_stats,
        p_size > 48 AS zero_byte
 FROM named

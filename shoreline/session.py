@@ -67,6 +67,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Give a single file another name, as landed files have names that Spark does not write."""
+    store, old = _store(spark, source)
+    new = _store(spark, target)[1]
+    store.mkdirs(new.getParent())
+    if not store.rename(old, new):
+        raise OSError(f"{source} cannot be renamed to {target}")
+
+
 def _store(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and the path as it takes it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

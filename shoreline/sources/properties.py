@@ -44,15 +44,20 @@ def property_lines(descriptors: DataFrame, separator: str = "=") -> DataFrame:
 def job_properties(descriptors: DataFrame, separator: str = "=", keys: Sequence[str] = JOB_KEYS) -> DataFrame:
     """One row per job with a column per key; the last of repeated keys wins.
 
+    ``properties`` is the map of all pairs, also of those that ``keys`` does not list.
     A descriptor is one row already, so its properties need no shuffle to come together.
     """
-    properties = descriptors.withColumn("properties", _properties("text", separator))
+    properties = descriptors.withColumn("pairs", _properties("text", separator))
 
     def last(key: str) -> Column:
-        found = F.filter("properties", lambda p: p["key"] == key)
+        found = F.filter("pairs", lambda p: p["key"] == key)
         return F.try_element_at(found, F.lit(-1))["value"].alias(key)
 
-    return properties.select("job", *map(last, keys))
+    names = F.array_distinct(F.transform("pairs", lambda p: p["key"]))
+    values = F.transform(
+        names, lambda name: F.element_at(F.filter("pairs", lambda p: p["key"] == name), F.lit(-1))["value"]
+    )
+    return properties.select("job", *map(last, keys), F.map_from_arrays(names, values).alias("properties"))
 
 
 def _properties(text: Column | str, separator: str) -> Column:
