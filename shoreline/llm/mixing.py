@@ -39,14 +39,18 @@ BLANK = r"[\x20\x09-\x0D]+"
 
 
 def _words(docs: DataFrame, *kept: str) -> DataFrame:
-    """Each word's two feature buckets; a text without words has one row with nulls."""
+    """Each word's two feature buckets, and whether it is a text's first row.
+
+    A text without words has one row with nulls.
+    """
     parts = F.filter(F.split(ascii_lower(F.col("text")), BLANK), lambda w: w != "")
-    rows = docs.select(*kept, F.explode_outer(parts).alias("word"))
+    rows = docs.select(*kept, F.posexplode_outer(parts).alias("place", "word"))
     return rows.select(
         *kept,
         F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("whole"),
         F.pmod(F.xxhash64(F.substring("word", -2, 2)), F.lit(BUCKETS)).alias("ending"),
         F.col("word").isNotNull().cast("int").alias("is_word"),
+        (F.coalesce("place", F.lit(0)) == 0).cast("int").alias("is_first"),
     )
 
 
@@ -78,10 +82,13 @@ def classifier(docs: DataFrame, labels: DataFrame, domains: list[str], domain: C
 def posteriors(docs: DataFrame, labels: DataFrame, domains: list[str], domain: Column) -> DataFrame:
     """``doc_id``, ``tag`` (hash of the text), ``n_tokens`` and ``p_0``, ``p_1``, ... once per id and text."""
     whole, ending, prior = classifier(docs, labels, domains, domain)
-    words = _words(docs.select("doc_id", F.xxhash64("text").alias("tag"), "text").distinct(), "doc_id", "tag")
+    words = _words(docs.select("doc_id", F.xxhash64("text").alias("tag"), "text"), "doc_id", "tag")
     found = words.join(F.broadcast(whole), "whole", "left").join(F.broadcast(ending), "ending", "left")
     sums = [F.sum(F.coalesce(f"whole_{i}", F.lit(0.0)) + F.coalesce(f"ending_{i}", F.lit(0.0))).alias(f"s_{i}") for i in range(len(domains))]
-    summed = found.groupBy("doc_id", "tag").agg(F.sum("is_word").cast("bigint").alias("n_tokens"), *sums)
+    summed = found.groupBy("doc_id", "tag").agg(F.sum("is_first").alias("copies"), F.sum("is_word").alias("n_tokens"), *sums)
+    # Rows that repeat were added up; the texts themselves need not be brought together.
+    once = [(F.col(f"s_{i}") / F.col("copies")).alias(f"s_{i}") for i in range(len(domains))]
+    summed = summed.select("doc_id", "tag", F.expr("n_tokens DIV copies").alias("n_tokens"), *once)
     weight = F.least(F.col("n_tokens"), F.lit(EVIDENCE)) / F.greatest(F.col("n_tokens"), F.lit(1))
     logits = summed.select("doc_id", "tag", "n_tokens", *((weight * F.col(f"s_{i}") + prior[i]).alias(f"l_{i}") for i in range(len(domains))))
     top = F.greatest(*(F.col(f"l_{i}") for i in range(len(domains)))) if len(domains) > 1 else F.col("l_0")
