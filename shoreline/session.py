@@ -67,6 +67,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def list_files(spark: SparkSession, root: str) -> Iterator[tuple[str, int, int]]:
+    """Path, length and modification time in milliseconds of every file below ``root``."""
+    store, top = _store(spark, root)
+    found = store.listFiles(top, True)
+    while found.hasNext():
+        file = found.next()
+        yield file.getPath().toString(), file.getLen(), file.getModificationTime()
+
+
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     """Give a single file another name, as landed files have names that Spark does not write."""
     store, old = _store(spark, source)

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoreline.session import list_files
+
 # Name patterns of the landed kinds.
 LANDED_KINDS = {"data": "*data.dsv", "schema": "*.schema", "stats": "*.stats"}
 
@@ -16,27 +18,21 @@ def list_landed(
 ) -> DataFrame:
     """``(path, kind, length, modified, zero_byte)`` for every landed file below ``root``.
 
-    Contents are never read. Spark's file sources pass over empty files, but its file listing
-    has them: a listed name without a scanned row is an empty file. The listing holds names
-    only and is driver metadata in any Spark read.
+    Contents are never read. Spark's file sources pass over empty files and over names that
+    begin with ``_`` or ``.``, so the names come from the file system's own recursive listing,
+    taken page by page. What the driver holds are the names, as in any Spark read.
     """
-    scan = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "{" + ",".join(kinds.values()) + "}")
-        .load(root)
-    )
-    filled = scan.select(plain_path("path").alias("path"), "length", F.col("modificationTime").alias("modified"))
-    listed = spark.createDataFrame([(name,) for name in scan.inputFiles()], "uri string").select(
-        plain_path(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))).alias("path")
-    )
-    return listed.join(filled, "path", "left").select(
+    rows = []
+    for place in [root] if isinstance(root, str) else root:
+        rows += [(path, size, at) for path, size, at in list_files(spark, place)]
+    listed = spark.createDataFrame(rows, "path string, length bigint, at bigint").withColumn("path", plain_path("path"))
+    return listed.select(
         "path",
         landed_kind("path", kinds).alias("kind"),
-        F.coalesce("length", F.lit(0)).alias("length"),
-        "modified",
-        F.col("length").isNull().alias("zero_byte"),
-    )
+        "length",
+        F.when(F.col("length") > 0, F.timestamp_millis("at")).alias("modified"),
+        (F.col("length") == 0).alias("zero_byte"),
+    ).where("kind IS NOT NULL")
 
 
 def landed_kind(path: Column | str, kinds: Mapping[str, str] = LANDED_KINDS) -> Column:

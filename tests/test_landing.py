@@ -159,3 +159,11 @@ def test_union(spark):
     for bad in ("a,z", " "):
         with pytest.raises(ValueError):
             union_requests(sources, bad)
+
+
+def test_names_that_spark_hides_are_listed(spark, tmp_path):
+    for name in ("_x_data.dsv", ".y_data.dsv", "z_data.dsv"):
+        (tmp_path / "in" / "deep").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / "deep" / name).write_text("a")
+    found = list_landed(spark, str(tmp_path / "in")).collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in found) == [".y_data.dsv", "_x_data.dsv", "z_data.dsv"]
