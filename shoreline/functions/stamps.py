@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Layouts of run stamps.
 FILE_STAMP_PATTERN = "yyyy-MM-dd_HH_mm_ss"
-LOG_STAMP_PATTERN = "yyyy-MM-dd_HH:mm:ss"
 
 
 def file_stamp(at: Column | None = None) -> Column:

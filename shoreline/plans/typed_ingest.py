@@ -59,6 +59,9 @@ def load_by_schema_file(
 
     Returns the DDL: one short text, the only thing that passes through the driver.
     """
-    ddl = schema_ddl(read_schema_files(spark, schema_file)).first()["ddl"]
+    found = schema_ddl(read_schema_files(spark, schema_file)).take(2)
+    if len(found) != 1:
+        raise ValueError(f"{schema_file} names {'no schema file' if not found else 'several schema files'}, one is needed")
+    ddl = found[0]["ddl"]
     load_table(rows, table, ddl, path)
     return ddl

@@ -76,6 +76,19 @@ def stream_raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).select("topic", F.col("value").alias("line"))
 
 
+@query(f"WITH {FEED_SQL} SELECT topic, CAST(event_id AS VARCHAR) AS event_id FROM feed")
+def stream_interval_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches at intervals until all that is there has landed."""
+    path = scratch_path(spark, "interval")
+    records = plain_feed(arrivals(spark, sf_dir, "events", "event_id"))
+    landing = start(land_raw(records, path), scratch_path(spark, "checkpoint"), every_seconds=1)
+    try:
+        landing.processAllAvailable()
+    finally:
+        landing.stop()
+    return spark.read.text(path).select("topic", F.get_json_object("value", "$.offset").alias("event_id"))
+
+
 WINDOWS_SQL = f"""
 WITH {FEED_SQL},
 placed AS (
