@@ -147,7 +147,10 @@ def mixed(docs: DataFrame, labels: DataFrame, shares: dict[str, float], domain:
         *(F.col(n).alias(f"_found_{n}") for n in numbers),
         rate.alias("_found_rate"),
     )
-    same = docs["doc_id"].eqNullSafe(rated["_found_id"]) & (F.xxhash64(docs["text"]) == rated["_found_tag"])
-    joined = docs.join(rated.hint("merge"), same)
+    # Hashed before the join: as a key, the expression would take the text through the shuffle.
+    tag = unused_name(docs, "tag")
+    tagged = docs.withColumn(tag, F.xxhash64("text"))
+    same = tagged["doc_id"].eqNullSafe(rated["_found_id"]) & (tagged[tag] == rated["_found_tag"])
+    joined = tagged.join(rated.hint("merge"), same)
     added = [rated[f"_found_{n}"].alias(name) for n, name in zip([*numbers, "rate"], names.values())]
-    return joined.select(*(docs[c] for c in docs.columns), *added), names
+    return joined.select(*(tagged[c] for c in docs.columns), *added), names
