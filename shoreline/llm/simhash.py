@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
