@@ -251,11 +251,33 @@ def fingerprint_text(fp: Column) -> Column:
 def one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """The rows of ``docs`` that lead their component: one row per component.
 
-    Rows without an id stay, as nothing tells them apart. Of rows that share the leading id
-    the one with the smallest text stays.
+    Rows without an id stay, as nothing tells them apart. Of rows of a component that share the
+    leading id the one with the smallest text stays, a null text last.
     """
-    found = near_duplicates(docs, radius, shingle)
-    leading = found.where("doc_id = component_id").select(F.col("doc_id").alias("leading_id")).distinct().hint("merge")
-    kept = docs.join(leading, docs["doc_id"] == leading["leading_id"]).select(docs["*"])
-    first = F.min_by(F.struct(*docs.columns), F.col("text")).alias("row")
-    return kept.groupBy("doc_id").agg(first).select("row.*").unionByName(docs.where("doc_id IS NULL"))
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    keyed = docs.where("doc_id IS NOT NULL").groupBy(F.xxhash64("text").alias("text_key")).agg(F.min(F.col("doc_id").cast("bigint")).alias("first_id"))
+    prints = fingerprints(texts, shingle).distinct().select(F.col("doc_id").alias("text_key"), "fp")
+    marked = written(keyed.join(prints, "text_key"), "fingerprints")
+    distinct = written(marked.select("fp").distinct(), "distinct")
+    rooted = components(links(distinct, distinct.count(), radius)).select(F.col("node").alias("fp"), "root")
+    members = marked.join(rooted, "fp", "left").select("text_key", "first_id", F.coalesce("root", "fp").alias("root"))
+    return leaders(docs, members)
+
+
+def leaders(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """One row of ``docs`` per ``root``, and the rows without an id.
+
+    ``members`` has for every different text with an id its hash as ``text_key``, the smallest id
+    with that text as ``first_id``, and ``root``, which is the same throughout a component.
+    """
+    members = written(members, "members")
+    ids = members.groupBy("root").agg(F.min("first_id").alias("first_id"))
+    leading = members.join(ids, ["root", "first_id"]).select("root", F.col("first_id").alias("leading_id"), F.col("text_key").alias("leading_key"))
+    leading = leading.hint("merge")
+    same = (docs["doc_id"] == leading["leading_id"]) & (F.xxhash64(docs["text"]) == leading["leading_key"])
+    row = F.struct(*(docs[c] for c in docs.columns))
+    kept = docs.join(leading, same).select("root", row.alias("row"))
+    plain = [F.col(f"row.`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    order = F.struct(F.col("row.text").isNull(), F.col("row.text"), F.xxhash64(*plain))  # never null, as min_by skips nulls
+    first = kept.groupBy("root").agg(F.min_by("row", order).alias("row")).select("row.*")
+    return first.unionByName(docs.where("doc_id IS NULL"))

@@ -69,6 +69,21 @@ def test_edge_cases(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(leading - {None})
 
 
+def test_leader_without_text(spark):
+    """A null text can lead, and its row keeps its other columns."""
+    rows = [(4, None, "en", "a", 0), (5, "", "de", "b", 0), (6, None, "de", "b", 0)]
+    assert [tuple(r) for r in simhash.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()] == rows[:1]
+
+
+def test_one_id_with_unrelated_texts(spark):
+    """Both texts of the id stay; the near copy of an earlier document goes, whatever its id holds else."""
+    words = [f"word{i}" for i in range(400)]
+    first, copy, other, third = " ".join(words), " ".join([*words, "more"]), " ".join(reversed(words)), " ".join(words[::2])
+    rows = [(1, first, "en", "a", 0), (2, copy, "en", "a", 0), (2, other, "en", "a", 0), (2, third, "en", "a", 0), (2, other, "en", "a", 0)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, first), (2, other), (2, third)])
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).collect() == []
