@@ -1,7 +1,8 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 The model is fitted on a bounded sample of the labelled rows: the first ``MAX_LABELLED`` by a
-hash of ``doc_id``, as far as their texts have ``MAX_BYTES`` together. FTRL takes one document
+hash of ``doc_id``, as far as their texts have ``MAX_BYTES`` together; a text that no longer
+fits is passed over and does not count. FTRL takes one document
 after the other with a rate per coordinate, and L1 leaves few weights, which are shipped to the
 tasks that score. A part of the sample is held back to fit slope and offset of the score.
 Everything else covers all rows.
@@ -10,19 +11,19 @@ Words are runs of letters, digits and non-ASCII characters, A-Z in lower case. F
 document's different words, pairs of neighbours, and pairs with one word between them.
 
 Edge cases. A null, empty or blank text has no features and gets the model's offset as score.
-Without labels, or with labels of one kind only, the score is that of the frequencies. Labels that are
-null do not count; of contradicting labels the larger counts. Extra columns go through.
+With labels of one kind only, the score is that of the frequencies; without any labelled text it is
+next to 0, so that nothing is called toxic. Labels that are null do not count; of contradicting labels the larger counts. Extra columns go through.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.llm.common import WordHashes, mixed, slices, with_scores, written
@@ -34,6 +35,9 @@ FEATURE_BITS = 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 1.0
 EPOCHS = 5
 
+#: Offset of the model that has seen no labelled text.
+UNFITTED = -30.0
+
 #: Of ten parts of the sample, by a checksum, those that only calibrate the score.
 CALIBRATION_PARTS = (3, 6)
 
@@ -82,9 +86,24 @@ def sampled_labels(docs: DataFrame, labels: DataFrame, label: str = "toxic") ->
     chosen = F.broadcast(written(usable.orderBy(*order).limit(MAX_LABELLED), "labelled"))
     sized = docs.select("doc_id", F.octet_length("text").cast("bigint").alias("size")).join(chosen, "doc_id")
     sized = written(sized.groupBy("doc_id").agg(F.max("label").alias("label"), F.sum(F.coalesce("size", F.lit(0))).alias("size")), "sized")
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # of MAX_LABELLED rows at most
-    ranked = sized.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    return ranked.where(F.col("before") + F.col("size") <= MAX_BYTES).select("doc_id", "label", F.xxhash64("doc_id").alias("rank"))
+    ranked = sized.select("doc_id", "label", F.xxhash64("doc_id").alias("rank"), "size")
+    one = ranked.repartition(1).sortWithinPartitions("rank", "doc_id")  # MAX_LABELLED rows at most
+    return one.mapInArrow(_fitting(MAX_BYTES), ranked.drop("size").schema)
+
+
+def _fitting(bound: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows in their order, without those whose size no longer fits into the bound."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = bound
+        for batch in batches:
+            taken = []
+            for size in batch.column("size").to_pylist():
+                taken.append(size <= left)
+                left -= size * taken[-1]
+            yield batch.filter(pa.array(taken, pa.bool_())).select(["doc_id", "label", "rank"])
+
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
@@ -96,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     index, weight = found.column(0).to_numpy(), found.column(1).to_numpy()
     named = {int(i): float(w) for i, w in zip(index[index < 0], weight[index < 0])}
     chosen = index >= 0
-    return Model(index[chosen], weight[chosen], named.get(-1, 0.0), named.get(-2, 0.0))
+    return Model(index[chosen], weight[chosen], named.get(-1, 0.0), named.get(-2, UNFITTED))
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,9 +133,10 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weights, offset = ftrl(fitted)
     margins = np.array([weights[x].sum() + offset for x, _ in calibrating])
     slope, shift = calibrated(margins, np.array([y for _, y in calibrating], float))
+    intercept = slope * offset + shift if fitted or calibrating else UNFITTED
     index = np.flatnonzero(weights)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate((index, [-1, -2])).astype(np.int32)), pa.array(np.concatenate((weights[index], [slope, slope * offset + shift])))],
+        [pa.array(np.concatenate((index, [-1, -2])).astype(np.int32)), pa.array(np.concatenate((weights[index], [slope, intercept])))],
         names=["index", "weight"],
     )
 

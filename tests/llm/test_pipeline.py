@@ -47,3 +47,13 @@ def test_edge_cases(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.written(stage(spark, docs, "/root/testdata/sf0.001"), "test")
             assert docs.columns[: len(columns)] == columns, name
+
+
+def test_without_labelled_text_nothing_is_toxic(spark, monkeypatch):
+    """No labels, labels of other documents, or none whose text fits: no document goes."""
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(1, 9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 9)], "doc_id long, quality int, toxic int")
+    for given, bound in ((labels.limit(0), 1 << 20), (labels.selectExpr("doc_id + 100 AS doc_id", "quality", "toxic"), 1 << 20), (labels, 1)):
+        monkeypatch.setattr(corpus_pipeline, "table", lambda *_, given=given: given)
+        monkeypatch.setattr(corpus_pipeline.toxicity, "MAX_BYTES", bound)
+        assert corpus_pipeline.drop_toxic(spark, docs, "").count() == 8

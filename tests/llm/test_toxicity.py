@@ -39,6 +39,17 @@ def test_edge_cases(spark):
     assert toxicity.scored(docs.limit(0), toxicity.fit(docs.limit(0), labels)).collect() == []
 
 
+def test_over_long_labelled_text(spark, monkeypatch):
+    """A text above the bound is passed over, wherever it comes in the order, and uses nothing up."""
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 1000)
+    texts = {i: "awful words" if i % 2 else "fine words" for i in range(1, 60)}
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in texts], LABELS)
+    plain = {r.doc_id for r in toxicity.sampled_labels(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), labels).collect()}
+    first = min(plain, key=lambda i: spark.sql(f"SELECT xxhash64({i}L)").first()[0])
+    docs = spark.createDataFrame([(i, "x" * 2000 if i == first else t) for i, t in texts.items()], "doc_id long, text string")
+    assert {r.doc_id for r in toxicity.sampled_labels(docs, labels).collect()} == plain - {first}
+
+
 def test_features_do_not_cross_documents():
     words = np.arange(1, 7, dtype=np.uint64) << np.uint64(50)
     joined, row = toxicity.occurrences(words, np.array([2, 0, 3, 1]))
