@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, linededup, mixing, pagetext, simhash, substrings, topk, toxicity, urlfilter, warczip
-from shoreline.llm.common import table
+from shoreline.llm import (
+    decontaminate,
+    infill,
+    licenses,
+    linededup,
+    mixing,
+    pagetext,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+    urlfilter,
+    vectorcodes,
+    warczip,
+)
+from shoreline.llm.common import table, written
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -208,3 +222,150 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     mixed, names = mixing.mixed(docs, table(spark, sf_dir, "labels"), DOMAIN_SHARES, F.expr(DOMAIN))
     return mixed.select("doc_id", names["n_tokens"], *(names[d] for d in DOMAIN_SHARES), names["rate"])
+
+
+def _license_rows() -> str:
+    rows = []
+    for number, t in enumerate(licenses.PHRASES + licenses.NOTICES):
+        words = "[" + ", ".join(f"'{w.decode()}'" for w in t.words) + "]"
+        rows.append(f"({number}, '{t.label}', {words}, {t.need}, {t.reach}, {str(t.phrase).lower()})")
+    return ", ".join(rows)
+
+
+OP11_SQL = f"""
+WITH tpl(id, label, words, need, reach, phrase) AS (VALUES {_license_rows()}),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+place AS (
+  SELECT r, label, s FROM doc, tpl, unnest(range(0, len(w) - len(words) + 1)) AS t(s)
+  WHERE phrase AND w[s + 1:s + len(words)] = words
+),
+block AS (
+  SELECT r, label, len(list_intersect(list_distinct(w[k * reach + 1:(k + 2) * reach]), words)) AS shared,
+    need, len(list_distinct(words)) AS size
+  FROM doc, tpl, unnest(range(0, (len(w) - 1) // reach + 1)) AS t(k) WHERE NOT phrase AND len(w) > 0
+),
+found AS (
+  SELECT r, label, CAST(1 AS DOUBLE) AS share FROM place
+  UNION ALL SELECT r, label, CAST(shared AS DOUBLE) / size FROM block WHERE shared >= need
+),
+base AS (
+  SELECT r, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM place GROUP BY r
+),
+named AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM found GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM doc LEFT JOIN base USING (r) LEFT JOIN named USING (r)
+"""
+
+
+@query(OP11_SQL)
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned, n_words, matches = licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    phrases = F.filter(matches, lambda m: m["phrase"])
+
+    def names(found):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["label"]))), ",")
+
+    def each(found, name):
+        return F.transform(found, lambda m: m[name])
+
+    return scanned.select(
+        "doc_id",
+        F.col(n_words).alias("n_words"),
+        F.aggregate(each(phrases, "places"), F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n_base"),
+        F.array_min(each(phrases, "first")).alias("first_word"),
+        F.array_max(each(phrases, "last")).alias("last_word"),
+        names(phrases).alias("base_labels"),
+        names(F.col(matches)).alias("labels"),
+        F.coalesce(F.array_max(each(F.col(matches), "containment")), F.lit(0.0)).alias("score"),
+    )
+
+
+OP12_SQL = """
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents
+),
+drawn AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM doc
+),
+cut AS (
+  SELECT doc_id, t, n,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+    array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+    array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS s
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+@query(OP12_SQL)
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.digests(infill.output_pieces(table(spark, sf_dir, "documents"), "doc_id", plain=10, spm=20, seed=1))
+    return found.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"
+    )
+
+
+def _op13_sql() -> str:
+    """Every part against every entry, in rounds; entries are lists of integers."""
+    steps = ["""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+part AS MATERIALIZED (SELECT r, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x FROM kept, unnest(range(0, 4)) AS t(p)),
+book0 AS MATERIALIZED (
+  SELECT p, e, x AS c FROM part
+  JOIN (SELECT r, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept QUALIFY e < 256) USING (r)
+)"""]
+    for i in range(vectorcodes.ROUNDS + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+  SELECT r, p, x, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT r, p, x, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM part JOIN book{i} USING (p)
+  ) GROUP BY r, p, x
+)""")
+        if i < vectorcodes.ROUNDS:
+            steps.append(f"""
+book{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.c, b.c) AS c FROM book{i} b LEFT JOIN (
+    SELECT p, e, list(m ORDER BY j) AS c FROM (
+      SELECT p, e, j, CAST(floor(sum(x[j]) / count(*)) AS BIGINT) AS m FROM near{i}, unnest(range(1, len(x) + 1)) AS t(j) GROUP BY p, e, j
+    ) GROUP BY p, e
+  ) n USING (p, e)
+)""")
+    last = vectorcodes.ROUNDS
+    return ",".join(steps) + f""",
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{last} GROUP BY r),
+summed AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM kept JOIN coded USING (r) GROUP BY label)
+SELECT vec_id, code, error, label_error,
+  (SELECT sha256(coalesce(string_agg(array_to_string(c, ','), ',' ORDER BY p, e), '')) FROM book{last}) AS codebooks_sha256
+FROM kept JOIN coded USING (r) JOIN summed ON summed.label IS NOT DISTINCT FROM kept.label
+"""
+
+
+@query(_op13_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = vectorcodes.staged_integers(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    books = vectorcodes.fit(staged)
+    coded, code, error = vectorcodes.coded(staged, books)
+    rows = written(coded.select("vec_id", "label", F.col(code).alias("code"), F.col(error).alias("error")), "vector-codes")
+    digest = F.lit(books.digest()).alias("codebooks_sha256")
+    return vectorcodes.with_group_sums(rows, "error", "label", "label_error").select("vec_id", "code", "error", "label_error", digest)
