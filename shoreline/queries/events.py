@@ -13,7 +13,7 @@ from shoreline.operators.events import (
     record_envelope,
     route_events,
 )
-from shoreline.operators.offsets import offset_ledger, starting_offsets_json, starting_positions
+from shoreline.operators.offsets import gaps, islands, offset_ledger, starting_offsets_json, starting_positions
 from shoreline.queries.inputs import FEED_SQL, feed, plain_feed, table
 from shoreline.queries.registry import query
 from shoreline.session import scratch_path
@@ -188,6 +188,56 @@ def offset_ledgers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_ledger(plain_feed(table(spark, sf_dir, "events")))
 
 
+@query(f"""
+WITH {FEED_SQL},
+ledger AS (
+  SELECT topic, part, event_id // 40 AS batch, min(event_id) AS lo, max(event_id) + 1 AS hi FROM feed
+  WHERE event_id // 40 % 5 <> 3 GROUP BY ALL
+  UNION ALL
+  SELECT topic, part, event_id // 250, min(event_id), max(event_id) + 1 FROM feed
+  WHERE event_id // 250 % 4 = 1 GROUP BY ALL
+),
+reached AS (
+  SELECT *, max(hi) OVER (PARTITION BY topic, part ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM ledger
+),
+numbered AS (
+  SELECT *, count(*) FILTER (WHERE before IS NULL OR lo > before) OVER (PARTITION BY topic, part ORDER BY lo, hi) AS island FROM reached
+),
+merged AS (SELECT topic, part, island, min(lo) AS lo, max(hi) AS hi FROM numbered GROUP BY ALL),
+points AS (SELECT topic, part, lo AS pos FROM ledger UNION SELECT topic, part, hi FROM ledger),
+stretches AS (SELECT topic, part, pos AS lo, lead(pos) OVER (PARTITION BY topic, part ORDER BY pos) AS hi FROM points),
+twice AS (
+  SELECT s.topic, s.part, s.lo, s.hi FROM stretches s JOIN ledger l
+    ON l.topic = s.topic AND l.part = s.part AND l.lo <= s.lo AND l.hi >= s.hi
+  GROUP BY ALL HAVING count(*) > 1
+)
+SELECT 'landed' AS kind, m.topic, m.part AS partition, m.lo AS from_offset, m.hi AS until_offset,
+  CAST((SELECT coalesce(sum(t.hi - t.lo), 0) FROM twice t WHERE t.topic = m.topic AND t.part = m.part AND t.lo >= m.lo AND t.hi <= m.hi) AS BIGINT) AS offsets
+FROM merged m
+UNION ALL
+SELECT 'missing', topic, part, lo, hi, hi - lo FROM (
+  SELECT topic, part, hi AS lo, lead(lo) OVER (PARTITION BY topic, part ORDER BY lo) AS hi FROM merged
+) WHERE hi IS NOT NULL
+""")
+def ledger_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unbroken ranges of two runs' ledgers with their repeated offsets, and the holes between.
+
+    The first run has small batches of which every fifth did not land, the second few large ones.
+    """
+    records = plain_feed(table(spark, sf_dir, "events"))
+    kinds = []
+    for size, landed in ((40, "batch % 5 <> 3"), (250, "batch % 4 = 1")):
+        batches = records.withColumn("batch", F.floor(F.col("offset") / size)).where(landed)
+        topic = F.concat_ws("#", "topic", "batch").alias("topic")
+        kinds.append(offset_ledger(batches.select(topic, "partition", "offset")))
+    ledger = kinds[0].union(kinds[1]).withColumn("topic", F.split_part("topic", F.lit("#"), F.lit(1)))
+    found = islands(ledger).withColumnRenamed("repeated", "offsets").withColumn("kind", F.lit("landed"))
+    size = (F.col("until_offset") - F.col("from_offset")).alias("offsets")
+    missing = gaps(ledger).select("*", size, F.lit("missing").alias("kind"))
+    return found.unionByName(missing)
+
+
 @query(LEDGER_SQL + """
 SELECT t.topic, p.part AS partition, coalesce(l.until_offset, 0) AS start_offset
 FROM (SELECT DISTINCT topic FROM feed) t CROSS JOIN (SELECT DISTINCT CAST(user_id % 5 AS INTEGER) AS part FROM events) p
