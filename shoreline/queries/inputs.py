@@ -17,22 +17,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Batches that a stream over a table arrives in, and one more without a record.
 BATCHES = 3
+#: Files that a batch arrives in.
+FILES = 4
 
 
 def arrivals(spark: SparkSession, sf_dir: str, name: str, key: str, *, mixed: bool = False) -> DataFrame:
-    """A table as a stream of several batches, one file each, the last file without records.
+    """A table as a stream of several batches of several files, the last one without records.
 
     A batch holds a range of the integer ``key``; with ``mixed`` every batch holds keys of the
-    whole range, so that the later ones bring records older than what is there.
+    whole range, so that the later ones bring records older than what is there. The files
+    land once per application, as a topic would hold them already.
     """
     rows = table(spark, sf_dir, name)
+    path = _landed(spark, sf_dir, name, key, mixed)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES)
+    return reader.parquet(f"{path}/chunk=*")
+
+
+_LANDED: dict[tuple, str] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str, name: str, key: str, mixed: bool) -> str:
+    """``FILES`` files per batch, batch after batch in the order of their times.
+
+    Batches are written one after the other, as file streams take the oldest files first.
+    """
+    rows = table(spark, sf_dir, name)
+    found = (spark.sparkContext.applicationId, sf_dir, name, key, mixed)
+    if found in _LANDED:
+        return _LANDED[found]
     path = scratch_path(spark, "arriving")
     top = rows.agg(F.max(key)).first()[0] or 0
-    chunk = F.col(key) % BATCHES if mixed else F.floor(F.col(key) * BATCHES / F.lit(top + 1))
-    rows.withColumn("chunk", chunk).repartition("chunk").write.partitionBy("chunk").parquet(path)
+    chunk = F.col(key) % BATCHES if mixed else F.floor(F.col(key) * BATCHES / F.lit(top + 1)).cast("int")
+    for number in range(BATCHES):
+        rows.where(chunk == number).repartition(FILES).write.parquet(f"{path}/chunk={number}")
     rows.limit(0).write.parquet(f"{path}/chunk={BATCHES}")
-    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
-    return reader.parquet(f"{path}/chunk=*")
+    _LANDED[found] = path
+    return path
 
 
 def text_of(name: str) -> Column:

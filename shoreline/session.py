@@ -85,6 +85,40 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} cannot be renamed to {target}")
 
 
+def read_text_file(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, or None where there is none."""
+    store, target = _store(spark, path)
+    if not store.exists(target):
+        return None
+    stream = store.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers find the old or the new content, never a part."""
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+    store, target = _store(spark, path)
+    fresh = _store(spark, f"{target.getParent().toString()}/.{uuid.uuid4().hex}")[1]
+    stream = store.create(fresh, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    fs = jvm.org.apache.hadoop.fs
+    how = context._gateway.new_array(fs.Options.Rename, 1)
+    how[0] = fs.Options.Rename.OVERWRITE
+    files = fs.FileContext.getFileContext(store.getUri(), context._jsc.hadoopConfiguration())
+    files.rename(store.makeQualified(fresh), store.makeQualified(target), how)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    store, target = _store(spark, path)
+    store.mkdirs(target)
+
+
 def _store(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and the path as it takes it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

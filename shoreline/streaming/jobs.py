@@ -1,10 +1,13 @@
 """The streaming jobs: raw landing, event routing, sliding windows and replay removal.
 
 None keeps state between batches: what a batch needs of earlier ones it reads from their output.
+Outputs are read with :func:`shoreline.streaming.commits.read_committed`, which leaves out a
+batch that is being written.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -23,8 +26,9 @@ from shoreline.operators.events import (
     route_events,
 )
 from shoreline.operators.offsets import offset_ledger
-from shoreline.session import path_exists
-from shoreline.streaming.sinks import BATCH_COLUMN, RUN_COLUMN, batch_fields, for_each_batch, run_identity, write_batch
+from shoreline.streaming.commits import begin, committed
+from shoreline.streaming.replays import ensure_index, index_path, key_prints, suspects, without_landed
+from shoreline.streaming.sinks import batch_fields, for_each_batch, run_identity, write_batch
 
 # The sliding window.
 WINDOW_LENGTH = "2 minutes"
@@ -70,12 +74,16 @@ def route_and_append(
     partition_by: Sequence[str] = ("topic", "route", "extract_date"),
     files: int | None = None,
 ) -> DataStreamWriter:
-    """Write all routes of a batch in one pass, and the offsets it held."""
+    """Write all routes of a batch in one pass, and the offsets it held.
+
+    The commit of the records is that of their ledger too: read it with ``commits_of=path``.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, path, partition_by, files=files)
         if ledger_path:
-            write_batch(offset_ledger(batch), batch_id, ledger_path, ["topic"])
+            begin(batch.sparkSession, path, run_identity(batch), batch_id)
+            write_batch(offset_ledger(batch), batch_id, ledger_path, ["topic"], commits=False)
+        write_batch(batch, batch_id, path, partition_by, files=files)
 
     return routed_records.writeStream.foreachBatch(for_each_batch(handle) if ledger_path else handle)
 
@@ -135,24 +143,41 @@ def keep_counts(
     by: Sequence[str] = ("topic",),
     files: int = 4,
 ) -> DataStreamWriter:
-    """Write each batch's records per window; :func:`current_counts` sums them up.
+    """Write each batch's records per pane; :func:`current_counts` sums panes up to windows.
 
-    A batch's counts stand on their own: nothing is kept between batches, so no record is
-    too late to be counted, and a batch that runs again replaces its own counts.
+    A pane is as wide as length and slide allow, so that every window is made of whole panes
+    and a record is counted once, however many windows cover it. A batch's counts stand on
+    their own: nothing is kept between batches, so no record is too late to be counted, and a
+    batch that runs again replaces its own counts.
     """
+    width = pane_width(records, length, slide)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        placed = in_windows(batch, length, slide).groupBy("window_start", "window_end", *by)
-        day = F.date_format("window_start", "yyyy-MM-dd").alias("window_date")
+        placed = batch.groupBy(F.window("timestamp", width)["start"].alias("pane_start"), *by)
+        day = F.date_format("pane_start", "yyyy-MM-dd").alias("pane_date")
         counts = placed.agg(F.count(F.lit(1)).alias("records")).select("*", day)
-        write_batch(counts, batch_id, path, ["window_date"], files=files)
+        write_batch(counts, batch_id, path, ["pane_date"], files=files)
 
     return records.writeStream.foreachBatch(handle)
 
 
-def current_counts(written: DataFrame, keys: Sequence[str] = ("window_start", "window_end", "topic")) -> DataFrame:
-    """The records of each window over all batches and runs."""
-    return written.groupBy(*keys).agg(F.sum("records").alias("records"))
+def pane_width(df: DataFrame, length: str, slide: str) -> str:
+    """The widest pane that both a window's length and its slide are multiples of."""
+    micros = ", ".join(f"unix_micros(timestamp_seconds(0) + INTERVAL '{text}')" for text in (length, slide))
+    return f"{math.gcd(*df.sparkSession.sql(f'SELECT {micros}').first())} microseconds"
+
+
+def current_counts(
+    panes: DataFrame, length: str = WINDOW_LENGTH, slide: str = WINDOW_SLIDE, by: Sequence[str] = ("topic",)
+) -> DataFrame:
+    """The records of each window over all batches and runs: batches summed per pane, panes per window.
+
+    ``length`` and ``slide`` are those the panes were made for, or multiples of the panes.
+    """
+    summed = panes.groupBy("pane_start", *by).agg(F.sum("records").alias("records"))
+    return in_windows(summed, length, slide, "pane_start").groupBy("window_start", "window_end", *by).agg(
+        F.sum("records").alias("records")
+    )
 
 
 def land_without_replays(
@@ -160,25 +185,26 @@ def land_without_replays(
 ) -> DataStreamWriter:
     """Append records whose key has not landed for the same event date; however late they are.
 
-    Copies inside a batch are removed first, then those of which a copy landed before. Only
-    the event dates of the batch are read again, and only their keys. What the batch itself
-    wrote before a failure does not count, so it is written alike when it runs again. A copy
-    is a record with the same key and event date; two queries that run at the same time on
-    one path do not see each other's open batches.
+    Copies inside a batch are removed first, then those of which a copy landed before, found
+    by an index of keys (:mod:`shoreline.streaming.replays`). What the batch itself wrote
+    before a failure does not count, so it is written alike when it runs again, nor do
+    batches that are not committed. A copy is a record with the same key and event date. A
+    record without a key is no copy of any other: all of them stay. Two queries that run at
+    the same time on one path do not see each other's open batches.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark, run = batch.sparkSession, run_identity(batch)
         dated = batch.withColumn("event_date", F.date_format(at, "yyyy-MM-dd"))
-        fresh = dated.dropDuplicates([key, "event_date"])
-        if path_exists(spark, path):
-            dates = [row.event_date for row in dated.select("event_date").distinct().toLocalIterator()]
-            own = (F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) == batch_id)
-            schema = StructType([*fresh.schema.fields, *batch_fields()])
-            landed = spark.read.schema(schema).parquet(path).where(F.col("event_date").isin(dates) & ~own)
-            landed = landed.select(F.col(key).alias("_key"), F.col("event_date").alias("_date"))
-            same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("event_date") == F.col("_date"))
-            fresh = fresh.join(landed, same, "left_anti")
+        alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+        fresh = dated.withColumn("_alone", alone).dropDuplicates([key, "event_date", "_alone"]).drop("_alone")
+        begin(spark, path, run, batch_id)
+        landed = spark.read.schema(StructType([*fresh.schema.fields, *batch_fields()])).parquet(path)
+        ensure_index(spark, path, landed, key)
+        dates = [row.event_date for row in dated.select("event_date").distinct().toLocalIterator()]
+        places = suspects(spark, path, fresh, key, dates, run, batch_id)
+        fresh = without_landed(fresh, committed(landed, path), key, places)
+        write_batch(key_prints(fresh, key), batch_id, index_path(path), ["event_date"], commits=False)
         write_batch(fresh, batch_id, path, ["event_date"], files=files)
 
     return records.writeStream.foreachBatch(for_each_batch(handle))

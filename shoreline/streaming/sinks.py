@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField
 
-BATCH_COLUMN = "batch_id"
-RUN_COLUMN = "run_id"
+from shoreline.streaming.commits import BATCH_COLUMN, DIRECT, RUN_COLUMN, begin, commit
 
 
 def run_identity(batch: DataFrame) -> str:
@@ -19,7 +18,7 @@ def run_identity(batch: DataFrame) -> str:
 
     A batch handed over by hand, outside any stream, has none and counts as ``direct``.
     """
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
 
 
 def batch_fields() -> list[StructField]:
@@ -35,6 +34,7 @@ def write_batch(
     *,
     file_format: str = "parquet",
     files: int | None = None,
+    commits: bool = True,
 ) -> None:
     """Write below ``<partition columns>/run_id=<id>/batch_id=<n>``, replacing what that batch wrote.
 
@@ -43,19 +43,25 @@ def write_batch(
     but has another id: it adds to what is there. That needs partition columns that do not change between runs:
     take dates from the record or from the streaming plan, not from the clock in here.
 
+    When all of it is written the batch is committed, see :mod:`shoreline.streaming.commits`;
+    ``commits=False`` leaves that to the caller, for a path that shares another one's commit.
+
     Rows are rebalanced by partition column: small ones share a task and a large one is
     split, so a topic with most of the records takes several files. That is up to AQE, which
     Spark turns off in stateful streams; there, tasks write what they hold. ``files`` spreads
     each partition over at most so many tasks and files instead; 1 makes a single file.
     """
+    spark, run = batch.sparkSession, run_identity(batch)
     columns = [*partition_by, RUN_COLUMN, BATCH_COLUMN]
-    keyed = batch.withColumns({RUN_COLUMN: F.lit(run_identity(batch)), BATCH_COLUMN: F.lit(batch_id)})
+    keyed = batch.withColumns({RUN_COLUMN: F.lit(run), BATCH_COLUMN: F.lit(batch_id)})
     if files:
         laid_out = keyed.repartition(*partition_by, F.pmod(F.xxhash64(*batch.columns), F.lit(files)))
-    elif batch.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    elif spark.conf.get("spark.sql.adaptive.enabled") == "true":
         laid_out = keyed.hint("rebalance", *partition_by)
     else:
         laid_out = keyed
+    if commits:
+        begin(spark, path, run, batch_id)
     (
         laid_out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -63,6 +69,8 @@ def write_batch(
         .format(file_format)
         .save(path)
     )
+    if commits:
+        commit(spark, path, run, batch_id)
 
 
 def for_each_batch(handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:

@@ -20,7 +20,8 @@ from shoreline.streaming.jobs import (
     route_and_append,
     routed,
 )
-from shoreline.streaming.sinks import preview, start
+from shoreline.streaming.commits import begin, commit, read_committed
+from shoreline.streaming.sinks import preview, start, write_batch
 
 FIELDS = {"account": "originatingEvent.accountNumber", "card": "originatingEvent.cardPr"}
 
@@ -226,7 +227,7 @@ def test_replayed_records_are_kept_once_however_late(spark, topic, tmp_path):
     for _ in range(2):
         finish(land_without_replays(topic.stream(), path, "key"), checkpoint)
         keys = sorted(str(row.key) for row in spark.read.parquet(path).collect())
-        assert keys == ["None", "e1", "e2", "e3", "far ahead"]
+        assert keys == ["None", "None", "None", "e1", "e2", "e3", "far ahead"]  # without a key nothing is a copy
         forget_last_commit(checkpoint)
 
 
@@ -268,8 +269,6 @@ def test_a_stateful_stream_can_be_routed(spark, topic, tmp_path):
 
 
 def test_a_topic_with_most_records_is_split_over_tasks(spark, tmp_path):
-    from shoreline.streaming.sinks import write_batch
-
     rows = spark.range(0, 60_000, 1, 6).selectExpr(
         "case when id % 3 = 0 then 'quiet' else 'hot' end as topic", "id", "sha2(cast(id as string), 256) as value"
     )
@@ -281,3 +280,117 @@ def test_a_topic_with_most_records_is_split_over_tasks(spark, tmp_path):
     written = spark.read.parquet(str(tmp_path / "out"))
     assert written.count() == 60_000
     assert len(glob.glob(str(tmp_path / "out" / "topic=hot" / "*" / "*" / "*.parquet"))) > 1
+
+
+def destroyed(pattern):
+    """Make files unreadable; a job that succeeds has not read them."""
+    files = [f for f in glob.glob(pattern) if f.endswith(".parquet")]
+    for file in files:
+        size = os.path.getsize(file)
+        with open(file, "wb") as out:
+            out.write(b"x" * size)
+    return files
+
+
+def test_new_records_are_landed_without_reading_landed_ones(spark, topic, tmp_path):
+    path, checkpoint = str(tmp_path / "kept"), str(tmp_path / "checkpoint")
+    for batch in range(4):
+        topic.arrive(*[(f"k{batch}-{i}", "v" * 500, "one", 100 * batch + i, i) for i in range(100)])
+    finish(land_without_replays(topic.stream(), path, "key"), checkpoint)
+    index = sum(os.path.getsize(f) for f in glob.glob(f"{path}/_keys/*/*/*/*.parquet"))
+    assert index < 4 * (100 * 9 + 1000)  # eight bytes a key and a footer a batch
+    assert destroyed(f"{path}/event_date=*/*/batch_id=[02]/*")
+    topic.arrive(*[(f"k9-{i}", "v", "one", 900 + i, i) for i in range(50)])
+    topic.arrive(*[(f"k{batch}-7", "again", "one", 7, 1) for batch in (1, 3)], ("k10", "v", "one", 1000, 2))
+    finish(land_without_replays(topic.stream(), path, "key"), checkpoint)
+    added = spark.read.schema("key string, batch_id int").parquet(*glob.glob(f"{path}/event_date=*/*/batch_id=[45]"))
+    assert sorted(r.key for r in added.collect()) == sorted(["k10", *[f"k9-{i}" for i in range(50)]])
+
+
+def test_keys_that_landed_before_the_index_are_indexed(spark, topic, tmp_path):
+    path = str(tmp_path / "kept")
+    topic.arrive(("a", "x", "one", 0, 0), ("b", "x", "one", 1, 0), (None, "x", "one", 2, 0))
+    finish(land_without_replays(topic.stream(), path, "key"), tmp_path / "first")
+    os.rename(f"{path}/_keys", tmp_path / "index-gone")
+    topic.arrive(("c", "x", "one", 3, 0))
+    finish(land_without_replays(topic.stream(), path, "key"), tmp_path / "second")
+    assert sorted(str(r.key) for r in read_committed(spark, path).collect()) == ["None", "None", "a", "b", "c"]
+
+
+def test_equal_hashes_of_different_keys_lose_no_record(spark, topic, tmp_path, monkeypatch):
+    monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(1).cast("bigint"))
+    path = str(tmp_path / "kept")
+    topic.arrive(("a", "x", "one", 0, 0))
+    topic.arrive(("b", "x", "one", 1, 0), ("a", "x", "one", 0, 0))
+    finish(land_without_replays(topic.stream(), path, "key", files=None), tmp_path / "checkpoint")
+    assert sorted(r.key for r in read_committed(spark, path).collect()) == ["a", "b"]
+
+
+def test_records_without_event_time_are_compared_with_each_other(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("b", None, 3)], "key string, timestamp timestamp, n int")
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for number in (1, 2):
+        rows.where(f"n >= {number}").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        finish(land_without_replays(stream, path, "key"), tmp_path / "checkpoint")
+    assert sorted(r.key for r in read_committed(spark, path).collect()) == ["a", "b"]
+
+
+def test_a_batch_counts_from_its_commit_on(spark, topic, tmp_path):
+    two_batches(topic)
+    path, ledger, checkpoint = (str(tmp_path / name) for name in ("out", "ledger", "checkpoint"))
+
+    def run():
+        finish(route_and_append(routed(topic.stream(), FIELDS), path, ledger_path=ledger), checkpoint)
+
+    def batches():
+        rows, ranges = read_committed(spark, path), read_committed(spark, ledger, commits_of=path)
+        return tuple(sorted(r.batch_id for r in df.select("batch_id").distinct().collect()) for df in (rows, ranges))
+
+    run()
+    assert batches() == ([0, 1], [0, 1])
+    (run_id,) = {r.run_id for r in spark.read.parquet(path).select("run_id").distinct().collect()}
+    begin(spark, path, run_id, 1)
+    assert batches() == ([0], [0])
+    forget_last_commit(checkpoint)
+    run()
+    assert batches() == ([0, 1], [0, 1])
+    assert len([f for f in os.listdir(f"{path}/_commits") if f.endswith(".json")]) == 1
+
+
+def test_commits_of_batches_handed_over_by_hand(spark, tmp_path):
+    path, rows = str(tmp_path / "out"), spark.createDataFrame([("a", 1)], "topic string, n int")
+    for number in (5, 0, 3):
+        write_batch(rows, number, path, ["topic"])
+    write_batch(rows, 7, path, ["topic"], commits=False)
+    assert sorted(r.batch_id for r in read_committed(spark, path).collect()) == [0, 3, 5]
+    begin(spark, path, "direct", 3)
+    assert sorted(r.batch_id for r in read_committed(spark, path).collect()) == [0, 5]
+    commit(spark, path, "direct", 3)
+    assert sorted(r.batch_id for r in read_committed(spark, path, "topic string, n int, run_id string, batch_id int").collect()) == [0, 3, 5]
+
+
+def test_a_path_without_commits_is_read_whole(spark, tmp_path):
+    spark.createDataFrame([(1,)], "n int").write.parquet(str(tmp_path / "plain"))
+    assert read_committed(spark, str(tmp_path / "plain")).count() == 1
+
+
+def test_a_record_is_counted_in_one_pane(spark, topic, tmp_path):
+    topic.arrive(*[("k", "v", "one", i, 7 * i) for i in range(100)])
+    path = str(tmp_path / "panes")
+    finish(keep_counts(topic.stream(), path, length="10 minutes", slide="1 minute"), tmp_path / "checkpoint")
+    panes = spark.read.parquet(path)
+    assert panes.agg(F.sum("records")).first()[0] == 100 and panes.count() == 12
+    records = spark.read.schema(RECORD_SCHEMA).json(str(topic.folder))
+    direct = in_windows(records, "10 minutes", "1 minute").groupBy("window_start", "window_end", "topic").count()
+    assert sorted(current_counts(panes, "10 minutes", "1 minute").collect()) == sorted(direct.collect())
+
+
+def test_panes_fit_into_length_and_slide(spark, topic, tmp_path):
+    """45 seconds every 30: panes of 15 seconds."""
+    topic.arrive(*[("k", "v", "one", i, 4 * i) for i in range(50)])
+    path = str(tmp_path / "panes")
+    finish(keep_counts(topic.stream(), path, length="45 seconds", slide="30 seconds"), tmp_path / "checkpoint")
+    records = spark.read.schema(RECORD_SCHEMA).json(str(topic.folder))
+    direct = in_windows(records, "45 seconds", "30 seconds").groupBy("window_start", "window_end", "topic").count()
+    assert sorted(current_counts(spark.read.parquet(path), "45 seconds", "30 seconds").collect()) == sorted(direct.collect())
