@@ -100,10 +100,19 @@ def with_settings(jobs: DataFrame, settings: DataFrame) -> DataFrame:
 
     ``settings`` has ``TBL_NAME`` and any descriptor columns (``Dedup_Key``, ``TIME_COLS``, ...).
     Of columns that both have, the settings' value counts where it is given. A file whose
-    table has no settings has no keys to deduplicate by and is left out.
+    table has no settings has no keys to deduplicate by: :func:`without_settings` has these. Two
+    settings for one table would make two jobs with one target and are an error.
     """
+    double = settings.where("TBL_NAME IS NOT NULL").groupBy("TBL_NAME").count().where("count > 1").orderBy("TBL_NAME").take(3)
+    if double:
+        raise ValueError(f"several settings for {', '.join(row.TBL_NAME for row in double)}")
     named = settings.select("TBL_NAME", *[F.col(c).alias(f"_set_{c}") for c in settings.columns if c != "TBL_NAME"])
     both = jobs.join(named, "TBL_NAME")
     merged = [F.coalesce(F.col(f"_set_{c}"), F.col(c)).alias(c) if c in settings.columns and c != "TBL_NAME" else F.col(c) for c in jobs.columns]
     added = [F.col(f"_set_{c}").alias(c) for c in settings.columns if c not in jobs.columns]
     return both.select(*merged, *added)
+
+
+def without_settings(jobs: DataFrame, settings: DataFrame) -> DataFrame:
+    """Job descriptions of files that :func:`with_settings` leaves out: no settings know their table, or no table is named."""
+    return jobs.join(settings.select("TBL_NAME"), "TBL_NAME", "left_anti").select(*jobs.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -9,6 +11,7 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shoreline.functions.timestamps import BLANK_MODE, TimestampMode, canonical_timestamps
 from shoreline.operators.dedup import latest_rows_counted
@@ -20,13 +23,13 @@ from shoreline.sinks.tables import (
     FAILED,
     IN_PROCESSING,
     STARTED,
-    append_audit,
+    AuditTrail,
     append_report,
-    audit_row,
     write_report,
 )
 from shoreline.sources.delimited import MISFIT, read_checked, read_compressed
 from shoreline.sources.dialect import APOSTROPHE_DIALECT, Dialect
+from shoreline.sources.types import inferred_types
 
 SOURCE_ROWS = "_source_rows"
 
@@ -56,6 +59,8 @@ class IngestJob:
     dialect: Dialect = APOSTROPHE_DIALECT
     #: Fields a record has; None takes the first line's width.
     width: int | None = None
+    #: Types of an inferring dialect's columns, as found before; None finds them in one pass.
+    schema: StructType | None = None
     #: Where records of another width go, as Parquet with their text. None: they fail the job.
     quarantine: str | None = None
     #: One table that the reports of many jobs are added to.
@@ -75,8 +80,7 @@ class IngestJob:
             settings["report"] = _path(properties, "REPORT_FILE")
         return IngestJob(
             source=_path(properties, "SRC_FILE"),
-            # Without a name of its own the output is named as the source, so jobs never share one.
-            target=_path({"TAR_FILE_NM": properties["SRC_FILE_NM"], **_filled(properties)}, "TAR_FILE"),
+            target=_path({"TAR_FILE_NM": _source_name(properties), **_filled(properties)}, "TAR_FILE"),
             keys=_names(properties["Dedup_Key"]),
             order=_names(properties["Dedup_order_Key"]),
             time_columns=_names(properties.get("TIME_COLS") or ""),
@@ -95,6 +99,12 @@ def _filled(properties: Mapping[str, str]) -> dict[str, str]:
     return {key: value for key, value in properties.items() if value}
 
 
+def _source_name(properties: Mapping[str, str]) -> str:
+    """What an output without a name of its own is called: its source's folder and name, so that jobs never share one."""
+    folder = re.sub(r"^\w+:/*", "", properties.get("SRC_FILE_PATH") or "").strip("/")
+    return "/".join(part for part in (folder, properties["SRC_FILE_NM"]) if part)
+
+
 def _path(properties: Mapping[str, str], prefix: str) -> str:
     parts = [properties.get(f"{prefix}_PATH"), properties.get(f"{prefix}_NM")]
     return "/".join(part for part in parts if part)
@@ -106,14 +116,21 @@ def _names(text: str) -> tuple[str, ...]:
 
 def deduplicated(spark: SparkSession, job: IngestJob) -> DataFrame:
     """The job's rows with their source counts: one scan, one shuffle, nothing run yet."""
-    source = _fitting(_source(spark, job), job)
-    clean = canonical_timestamps(source, job.time_columns, job.timestamps)
+    return _deduplicated(open_source(spark, job), job)
+
+
+def _deduplicated(source: DataFrame, job: IngestJob) -> DataFrame:
+    clean = canonical_timestamps(_fitting(source, job), job.time_columns, job.timestamps)
     return latest_rows_counted(clean, job.keys, job.order, casts=job.casts, count_as=SOURCE_ROWS)
 
 
-def _source(spark: SparkSession, job: IngestJob) -> DataFrame:
+def open_source(spark: SparkSession, job: IngestJob) -> DataFrame:
+    """The source, opened once per job: what that takes, a look at the first line or a pass for the types, is not repeated."""
     if job.dialect.infer:
-        return read_compressed(spark, job.source, job.dialect, partitions=job.spread)
+        schema = job.schema or inferred_types(spark, job.source, job.dialect)
+        if not len(schema):
+            return spark.createDataFrame([], schema)
+        return read_compressed(spark, job.source, job.dialect.with_(infer=False), schema, job.spread)
     source = read_checked(spark, job.source, job.dialect, job.width)
     return source.repartition(job.spread) if job.spread else source
 
@@ -129,8 +146,8 @@ def _fitting(source: DataFrame, job: IngestJob) -> DataFrame:
     return source.withColumn("_c0", checked).drop(MISFIT)
 
 
-def _keep_misfits(spark: SparkSession, job: IngestJob) -> None:
-    source = _source(spark, job)
+def _keep_misfits(source: DataFrame, job: IngestJob) -> None:
+    """The quarantine is a pass of its own over the source, for jobs that have one."""
     if job.quarantine and MISFIT in source.columns:
         kept = source.where(F.col(MISFIT).isNotNull()).select(F.col(MISFIT).alias("record"), F.col("_c0").alias("first_field"))
         kept.write.mode("overwrite").parquet(job.quarantine)
@@ -141,26 +158,36 @@ def run_ingest(spark: SparkSession, job: IngestJob) -> DataFrame:
 
     A failure leaves a ``failed`` row in the audit trail and is raised.
     """
-    _note(spark, job, STARTED)
+    trail = AuditTrail(spark, job.audit, job.name)
+    trail.note(STARTED)
     try:
-        _note(spark, job, IN_PROCESSING)
-        if _source(spark, job).columns:
-            _keep_misfits(spark, job)
-            rows = deduplicated(spark, job)
+        trail.note(IN_PROCESSING)
+        source = open_source(spark, job)
+        if source.columns:
+            _keep_misfits(source, job)
+            rows = _deduplicated(source, job)
             report = _write_sized(rows, job) if job.exact_files else _write_through(rows, job)
-        else:  # not even a first line
-            report = spark.createDataFrame([(job.name, 0, 0, 0)], REPORT_SCHEMA)
+        else:
+            report = _write_nothing(spark, job)
         if job.report:
             write_report(report, job.report)
         if job.reports:
             append_report(report, job.reports)
     except Exception as failure:
-        _note(spark, job, FAILED, str(failure))
+        trail.note(FAILED, str(failure))
         raise
-    _note(spark, job, COMPLETED)
+    trail.note(COMPLETED)
     return report
 
 
+def _write_nothing(spark: SparkSession, job: IngestJob) -> DataFrame:
+    """A source without a line: what an earlier run wrote is replaced as by one with rows."""
+    if job.quarantine:
+        spark.createDataFrame([], "record string, first_field string").write.mode("overwrite").parquet(job.quarantine)
+    _write(spark.createDataFrame([], "_c0 string"), job)
+    return spark.createDataFrame([(job.name, 0, 0, 0)], REPORT_SCHEMA)
+
+
 def _write_sized(rows: DataFrame, job: IngestJob) -> DataFrame:
     with staged(rows, "dedup") as result:
         counts = count_report(result, job.name, SOURCE_ROWS).first()
@@ -192,11 +219,6 @@ def _write(rows: DataFrame, job: IngestJob, max_rows_per_file: int | None = None
         write_delimited(rows, job.target, job.dialect, max_rows_per_file=max_rows_per_file)
 
 
-def _note(spark: SparkSession, job: IngestJob, status: str, error: str | None = None) -> None:
-    if job.audit:
-        append_audit(audit_row(spark, job.name, status, error=error), job.audit)
-
-
 def run_all(
     spark: SparkSession,
     jobs: Iterable[IngestJob],
@@ -206,7 +228,8 @@ def run_all(
 ) -> list[tuple[IngestJob, DataFrame | Exception]]:
     """Run jobs of one application, several at a time; a failing job stops no other one.
 
-    Each job comes back with its report or with what made it fail.
+    Each job comes back with its report or with what made it fail. Jobs that would write to
+    the same place are refused before any of them runs.
 
     Each job has a scheduler pool of its own. With ``spark.scheduler.mode`` FAIR, small files
     then do not wait for a large one.
@@ -220,5 +243,9 @@ def run_all(
             return failure
 
     batch = list(jobs)
+    places = Counter((job.target, job.stamp) for job in batch)
+    shared = sorted(target for (target, _), count in places.items() if count > 1)
+    if shared:
+        raise ValueError(f"several jobs write to {', '.join(shared)}")
     with ThreadPoolExecutor(at_once) as pool:
         return list(zip(batch, pool.map(inheritable_thread_target(spark)(attempt), batch)))

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from shoreline.sinks.delimited import write_dated
-from shoreline.sinks.tables import COMPLETED, FAILED, IN_PROCESSING, STARTED, append_audit, audit_row, load_table
+from shoreline.sinks.tables import COMPLETED, FAILED, IN_PROCESSING, STARTED, AuditTrail, load_table
 from shoreline.sources.delimited import read_compressed
 from shoreline.sources.dialect import TYPED_DIALECT, Dialect
 from shoreline.sources.schema_files import read_schema_files, schema_ddl
+from shoreline.sources.types import inferred_types
 
 
 def run_typed_ingest(
@@ -27,24 +28,23 @@ def run_typed_ingest(
 ) -> DataFrame:
     """Read, type and write one extract; returns the rows as read.
 
-    A declared ``schema`` spares the pass over the data that inference takes. ``partitions``
-    spreads the rows of a codec that cannot be split.
+    A declared ``schema`` spares the one pass over the data that finding types takes.
+    ``partitions`` spreads the rows of a codec that cannot be split.
     """
 
-    def note(status: str, error: str | None = None) -> None:
-        if audit:
-            append_audit(audit_row(spark, source, status, error=error), audit)
-
-    note(STARTED)
+    trail = AuditTrail(spark, audit, source)
+    trail.note(STARTED)
     try:
-        note(IN_PROCESSING)
-        plain = dialect.with_(infer=dialect.infer and schema is None)
+        trail.note(IN_PROCESSING)
+        plain = dialect.with_(infer=False)
+        if dialect.infer and schema is None:
+            schema = inferred_types(spark, source, dialect)
         rows = read_compressed(spark, source, plain, schema, partitions)
         write_dated(rows, target, stamp or f"{datetime.now(timezone.utc):%Y-%m-%d_%H_%M_%S}", plain)
     except Exception as failure:
-        note(FAILED, str(failure))
+        trail.note(FAILED, str(failure))
         raise
-    note(COMPLETED)
+    trail.note(COMPLETED)
     return rows
 
 
@@ -54,14 +54,13 @@ def load_by_schema_file(
     schema_file: str,
     table: str,
     path: str | None = None,
-) -> str:
+) -> tuple[str, dict[str, int]]:
     """Create ``table`` from positional rows with the columns a schema file declares.
 
-    Returns the DDL: one short text, the only thing that passes through the driver.
+    Returns the DDL, one short text, and per column how many values did not fit its type.
     """
     found = schema_ddl(read_schema_files(spark, schema_file)).take(2)
     if len(found) != 1:
         raise ValueError(f"{schema_file} names {'no schema file' if not found else 'several schema files'}, one is needed")
     ddl = found[0]["ddl"]
-    load_table(rows, table, ddl, path)
-    return ddl
+    return ddl, load_table(rows, table, ddl, path)

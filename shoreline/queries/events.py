@@ -16,7 +16,7 @@ from shoreline.operators.events import (
 from shoreline.operators.offsets import gaps, islands, offset_ledger, starting_offsets_json, starting_positions
 from shoreline.queries.inputs import FEED_SQL, feed, plain_feed, table
 from shoreline.queries.registry import query
-from shoreline.session import scratch_path
+from shoreline.session import scratch_path, spread
 from shoreline.sources.delimited import schema_from_names
 from shoreline.sources.kafka import text_records
 from shoreline.sources.records import inferred_schema, parse_json, read_json_records
@@ -69,7 +69,7 @@ def json_lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_events(feed(table(spark, sf_dir, "events")))
+    return parse_events(feed(spread(table(spark, sf_dir, "events"))))
 
 
 @query(f"""

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.functions.stamps import base_name, dir_name
 from shoreline.functions.timestamps import SENTINEL_MODE
 from shoreline.operators.dedup import latest_rows
-from shoreline.operators.manifest import job_table, match_companions, with_settings
+from shoreline.operators.manifest import job_table, match_companions, with_settings, without_settings
 from shoreline.plans.batch_ingest import IngestJob, jobs_from, run_all, run_ingest
 from shoreline.plans.typed_ingest import load_by_schema_file, run_typed_ingest
 from shoreline.queries.inputs import LANDED_LINES_SQL, landed_lines, table, text_of
 from shoreline.queries.registry import query
 from shoreline.session import move_file, scratch_path, staged
 from shoreline.sinks.delimited import DEFAULT_ROWS_PER_FILE, file_count, into_files, write_dated, write_delimited
+from shoreline.sinks.tables import read_audit
 from shoreline.sources.delimited import positional_schema, read_compressed, read_delimited
 from shoreline.sources.dialect import APOSTROPHE_DIALECT, BEL, BEL_DIALECT, TYPED_DIALECT, UNQUOTED_DIALECT
 from shoreline.sources.landing import list_landed
+from shoreline.sources.types import inferred_types
 
 
 def _named(df: DataFrame, *names: str) -> DataFrame:
@@ -107,9 +111,11 @@ def _with_types(typed: DataFrame, *extra: str) -> DataFrame:
 
 @query(TYPED_ORDERS_SQL.format(extra=""))
 def infer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types found by one aggregate over all texts, then used to read them."""
     path = scratch_path(spark, "orders")
     write_delimited(_typed_orders(spark, sf_dir), path)
-    return _with_types(_named(read_delimited(spark, path, TYPED_DIALECT), *TYPED_ORDER_COLUMNS))
+    types = inferred_types(spark, path, TYPED_DIALECT)
+    return _with_types(_named(read_delimited(spark, path, TYPED_DIALECT.with_(infer=False), types), *TYPED_ORDER_COLUMNS))
 
 
 @query(TYPED_ORDERS_SQL.format(extra=", '2021-06-15_08_05_30' AS extract_date"))
@@ -273,20 +279,24 @@ def ragged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'orders_data.dsv' AS file, count(*) AS dedup_count, count(*) AS source_count, CAST(0 AS BIGINT) AS duplicate_count FROM orders
-UNION ALL SELECT 'empty_data.dsv', 0, 0, 0
+SELECT 'orders_data.dsv' AS file, count(*) AS dedup_count, count(*) AS source_count, CAST(0 AS BIGINT) AS duplicate_count,
+  count(*) AS left_there FROM orders
+UNION ALL SELECT 'emptied_data.dsv', 0, 0, 0, 0
 """)
 def empty_source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file without a byte has a report of no rows beside that of a file with rows."""
+    """A file that landed again without a byte has a report of no rows, and its output none."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    reports = None
-    for name, rows in (("orders_data.dsv", orders), ("empty_data.dsv", orders.where(F.lit(False)))):
+    found = None
+    for name, landings in (("orders_data.dsv", [orders]), ("emptied_data.dsv", [orders, orders.where(F.lit(False))])):
         source = scratch_path(spark, "landed")
-        write_delimited(rows, source, APOSTROPHE_DIALECT)
         job = IngestJob(source=source, target=scratch_path(spark, "ingested"), keys=("_c0",), order=("_c1",), name=name)
-        report = run_ingest(spark, job)
-        reports = report if reports is None else reports.union(report)
-    return reports
+        for rows in landings:
+            write_delimited(rows, source, APOSTROPHE_DIALECT)
+            report = run_ingest(spark, job)
+        left = read_delimited(spark, job.target, job.dialect, positional_schema(2)).agg(F.count(F.lit(1)).alias("left_there"))
+        one = report.join(left)  # a row each
+        found = one if found is None else found.union(one)
+    return found
 
 
 @query("""
@@ -310,38 +320,58 @@ def ingest_many_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     for job, outcome in run_all(spark, jobs):
         if isinstance(outcome, Exception):
             raise outcome
-    trail = spark.read.parquet(audit).groupBy("job").agg(F.count_distinct("status").alias("statuses"))
+    trail = read_audit(spark, audit).groupBy("job").agg(F.count_distinct("status").alias("statuses"))
     found = spark.read.parquet(reports).select(F.col("file").alias("job"), "dedup_count")
     return trail.join(found, "job")
 
 
 @query("""
-SELECT 'LINES_' || l_returnflag AS name, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS supplier,
-       CAST(l_orderkey AS VARCHAR) AS order_no
-FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY l_returnflag, l_partkey, l_suppkey ORDER BY CAST(l_orderkey AS VARCHAR) DESC) = 1
+WITH landed AS (
+  SELECT 'LINES_' || l_returnflag AS name, CASE WHEN l_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS folder,
+    CAST(1 + l_linenumber % 2 AS INTEGER) AS number, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS supplier,
+    CAST(l_orderkey AS VARCHAR) AS order_no
+  FROM lineitem
+)
+SELECT * FROM landed
+QUALIFY row_number() OVER (PARTITION BY name, folder, number, part, supplier ORDER BY order_no DESC) = 1
+UNION ALL SELECT 'NATIONS', 'unknown', 1, NULL, NULL, NULL FROM (SELECT count(*) AS n FROM nation) WHERE n > 0
 """)
 def landing_to_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files by return flag, from the inventory over manifest, settings and jobs to their outputs."""
-    root, target = scratch_path(spark, "landing"), scratch_path(spark, "ingested")
-    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_suppkey", "l_orderkey")
-    flags = [r.l_returnflag for r in lines.select("l_returnflag").distinct().collect()]
-    for flag in flags:
-        one = scratch_path(spark, "one")
-        write_delimited(lines.where(F.col("l_returnflag") == flag).drop("l_returnflag").coalesce(1), one, APOSTROPHE_DIALECT)
-        (file,) = spark.read.text(one).inputFiles()
-        move_file(spark, file, f"{root}/{flag}/ab_cd_LINES_{flag}_20210101_120000_001_data.dsv")
+    """Files by return flag, from the inventory over manifest, settings and jobs to their outputs.
+
+    Each flag has several numbered files, and two folders hold files of the same names. A file
+    of a table that no settings know comes back as such.
+    """
+    root, target, one = (scratch_path(spark, label) for label in ("landing", "ingested", "one"))
+    sep = APOSTROPHE_DIALECT.sep
+    folder = F.when(F.col("l_orderkey") % 2 == 0, "even").otherwise("odd").alias("folder")
+    number = (1 + F.col("l_linenumber") % 2).cast("int").alias("number")
+    line = F.concat_ws(sep, "l_partkey", "l_suppkey", "l_orderkey").alias("value")
+    name = F.concat(F.lit("LINES_"), "l_returnflag").alias("name")
+    rows = table(spark, sf_dir, "lineitem").select(name, folder, number, line)
+    nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"))
+    nations = nations.withColumns({"name": F.lit("NATIONS"), "folder": F.lit("even"), "number": F.lit(1)})
+    dealt = rows.unionByName(nations)
+    dealt.repartition("name", "folder", "number").write.partitionBy("name", "folder", "number").text(one)
+    for file in spark.read.text(one).inputFiles():  # a file per name, folder and number
+        name, place, seq = re.findall("=([^/]+)/", file)
+        move_file(spark, file, f"{root}/{place}/ab_cd_{name}_20210101_120000_00{seq}_data.dsv")
+    flags = [r.l_returnflag for r in table(spark, sf_dir, "lineitem").select("l_returnflag").distinct().collect()]
     settings = spark.createDataFrame(
         [(f"LINES_{flag}", "_c0,_c1", "_c2") for flag in flags], "TBL_NAME string, Dedup_Key string, Dedup_order_Key string"
     )
-    described = with_settings(job_table(match_companions(list_landed(spark, root)), target_path=target), settings)
-    found = None
-    for job, outcome in run_all(spark, jobs_from(described)):
+    jobs = job_table(match_companions(list_landed(spark, root)), target_path=target)
+    found = without_settings(jobs, settings).select(
+        F.col("TBL_NAME").alias("name"), F.lit("unknown").alias("folder"), F.lit(1).alias("number"), *[F.lit(None).cast("string").alias(c) for c in ("part", "supplier", "order_no")]
+    )
+    for job, outcome in run_all(spark, jobs_from(with_settings(jobs, settings))):
         if isinstance(outcome, Exception):
             raise outcome
-        rows = _named(read_delimited(spark, job.target, job.dialect, positional_schema(3)), "part", "supplier", "order_no")
-        rows = rows.withColumn("name", F.regexp_extract(F.lit(job.name), "ab_cd_(LINES_.)_", 1))
-        found = rows if found is None else found.unionByName(rows)
+        kept = _named(read_delimited(spark, job.target, job.dialect, positional_schema(3)), "part", "supplier", "order_no")
+        name, seq = (F.regexp_extract(F.lit(job.name), r"ab_cd_(LINES_.)_.*_00(\d)_data", group) for group in (1, 2))
+        found = found.unionByName(
+            kept.select(name.alias("name"), F.lit(job.source.rsplit("/", 2)[1]).alias("folder"), seq.cast("int").alias("number"), "*")
+        )
     return found
 
 
@@ -356,19 +386,21 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _lines_job(spark, sf_dir, audit=scratch_path(spark, "audit"), report=scratch_path(spark, "report"))
     run_ingest(spark, job)
     report = spark.read.schema("job string, dedup_count bigint").option("enforceSchema", True).csv(job.report)
-    trail = spark.read.parquet(job.audit).join(report.withColumn("status", F.lit("Completed")), ["job", "status"], "left")
+    trail = read_audit(spark, job.audit).join(report.withColumn("status", F.lit("Completed")), ["job", "status"], "left")
     return trail.select("job", "status", F.col("error").cast("string"), "dedup_count")
 
 
 @query("""
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
-       CAST(CAST(c_acctbal AS DECIMAL(10,2)) AS DOUBLE) AS c_acctbal, c_mktsegment
+  CASE WHEN c_custkey % 10 > 0 THEN CAST(CAST(c_acctbal AS DECIMAL(10,2)) AS DOUBLE) END AS c_acctbal, c_mktsegment,
+  CAST(0 AS BIGINT) AS key_misfits, (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0) AS balance_misfits
 FROM customer
 """)
 def typed_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table with the types a schema file declares for untyped rows."""
+    """A table with the types a schema file declares for untyped rows, and how many values did not fit."""
     source, schema_file = scratch_path(spark, "customer"), scratch_path(spark, "customer-schema")
-    customer = table(spark, sf_dir, "customer").withColumn("c_acctbal", text_of("c_acctbal"))
+    balance = F.when(F.col("c_custkey") % 10 == 0, "unknown").otherwise(text_of("c_acctbal"))
+    customer = table(spark, sf_dir, "customer").withColumn("c_acctbal", balance)
     write_delimited(customer, source)
     declared = {"bigint": "int64", "int": "nullable int32", "string": "nullable string[max=40]"}
     columns = [f"  {name}: {declared[kind]};" for name, kind in customer.dtypes if name != "c_acctbal"]
@@ -377,14 +409,22 @@ def typed_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(schema_file)
     name = schema_file.rsplit("/", 1)[-1].replace("-", "_")
     rows = read_delimited(spark, source, schema=positional_schema(5))
-    load_by_schema_file(spark, rows, schema_file, name, scratch_path(spark, "customer-table"))
-    return spark.table(name).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+    _, misfits = load_by_schema_file(spark, rows, schema_file, name, scratch_path(spark, "customer-table"))
+    return spark.table(name).withColumns(
+        {
+            "c_acctbal": F.col("c_acctbal").cast("double"),
+            "key_misfits": F.lit(misfits["c_custkey"]).cast("bigint"),
+            "balance_misfits": F.lit(misfits["c_acctbal"]).cast("bigint"),
+        }
+    )
 
 
 @query("""
 SELECT DISTINCT 'data' AS kind, 'event_type=' || event_type AS folder, false AS zero_byte, true AS filled FROM events
 UNION ALL
 SELECT 'stats', 'empty', true, false
+UNION ALL
+SELECT DISTINCT 'data', '_late', false, true FROM events
 """)
 def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "landing")
@@ -392,6 +432,7 @@ def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = events.select("event_type", F.col("props").alias("value"))
     lines.write.partitionBy("event_type").text(f"{root}/filled")
     lines.filter(F.lit(False)).select("value").write.csv(f"{root}/empty")
+    lines.select("value").write.text(f"{root}/_late")
     landed = list_landed(spark, root, {"data": "*.txt", "stats": "*.csv", "schema": "*.schema"})
     return landed.groupBy("kind", base_name(dir_name("path")).alias("folder")).agg(
         F.bool_and("zero_byte").alias("zero_byte"), F.bool_and(F.col("length") > 0).alias("filled")

@@ -184,8 +184,8 @@ entities AS (
 def feed(events: DataFrame) -> DataFrame:
     """Records of two topics.
 
-    Malformed are those without closing brackets, with two documents in one text, and with a
-    number that is none.
+    Malformed are those without closing brackets, with two documents in one text, with text
+    after a bracket behind the document, and with a number that is none.
     """
     event_id = F.col("event_id").cast("string")
     event_time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -233,7 +233,9 @@ def feed(events: DataFrame) -> DataFrame:
     )
     value = (
         F.when(number % 50 == 49, F.rtrim(record, F.lit("}")))
-        .when(number % 50 == 48, F.concat(record, record))
+        .when(number % 150 == 48, F.concat(record, record))
+        .when(number % 150 == 98, F.concat(record, F.lit("],["), record))
+        .when(number % 150 == 148, F.concat(record, F.lit("] trailing")))
         .when(number % 50 == 47, F.replace(record, F.lit('"jsonVersion":1'), F.lit('"jsonVersion":"one"')))
         .otherwise(record)
     )

@@ -67,6 +67,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(target)
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """A path with the scheme of the file system it belongs to."""
+    store, target = _store(spark, path)
+    return store.makeQualified(target).toString()
+
+
 def list_files(spark: SparkSession, root: str) -> Iterator[tuple[str, int, int]]:
     """Path, length and modification time in milliseconds of every file below ``root``."""
     store, top = _store(spark, root)
@@ -119,6 +125,17 @@ def make_folder(spark: SparkSession, path: str) -> None:
     store.mkdirs(target)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its source has fewer splits than that, before costly work per row.
+
+    A source with splits enough, and any stream, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def _store(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and the path as it takes it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.session import list_files
+from shoreline.sources.listing import listed
 
 # Name patterns of the landed kinds.
 LANDED_KINDS = {"data": "*data.dsv", "schema": "*.schema", "stats": "*.stats"}
@@ -19,14 +19,10 @@ def list_landed(
     """``(path, kind, length, modified, zero_byte)`` for every landed file below ``root``.
 
     Contents are never read. Spark's file sources pass over empty files and over names that
-    begin with ``_`` or ``.``, so the names come from the file system's own recursive listing,
-    taken page by page. What the driver holds are the names, as in any Spark read.
+    begin with ``_`` or ``.``, so the names come from the file system itself, listed by tasks.
     """
-    rows = []
-    for place in [root] if isinstance(root, str) else root:
-        rows += [(path, size, at) for path, size, at in list_files(spark, place)]
-    listed = spark.createDataFrame(rows, "path string, length bigint, at bigint").withColumn("path", plain_path("path"))
-    return listed.select(
+    found = listed(spark, [root] if isinstance(root, str) else root)
+    return found.withColumn("path", plain_path("path")).select(
         "path",
         landed_kind("path", kinds).alias("kind"),
         "length",

@@ -56,8 +56,15 @@ def _plain(kind: DataType) -> DataType:
 
 
 def is_one_document(text: Column | str) -> Column:
-    """Whether a text is one JSON document with nothing after it."""
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    """Whether a text is one JSON document with nothing after it.
+
+    As an array's only element it makes an array of one, and of two with another element
+    behind it. Text after the document changes the first count or, where it closes the array
+    early, keeps the second at one.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
+    return F.coalesce(alone & followed, F.lit(False))
 
 
 def parse_json(text: Column | str, schema: StructType | str) -> Column:

@@ -1,4 +1,5 @@
 import glob
+import os
 
 import pytest
 
@@ -8,7 +9,7 @@ from shoreline.plans.batch_ingest import IngestJob, deduplicated, run_all, run_i
 from shoreline.plans.typed_ingest import run_typed_ingest
 from shoreline.session import scratch_path, shared_folder, staged
 from shoreline.sinks.delimited import DEFAULT_ROWS_PER_FILE, file_count, into_files
-from shoreline.sinks.tables import append_report, load_table, typed_columns
+from shoreline.sinks.tables import append_report, load_table, read_audit, typed_columns
 from shoreline.sources.delimited import read_delimited
 from shoreline.sources.dialect import APOSTROPHE_DIALECT
 
@@ -58,7 +59,7 @@ def test_from_descriptor_to_files_and_report(spark, properties, tmp_path):
     assert output(spark, job) == LATEST
     assert len(glob.glob(f"{job.target}/part-*")) == 2
     assert spark.read.csv(job.report).first() == ("pay_data.dsv", "3", "5", "2")
-    trail = spark.read.parquet(job.audit).orderBy("at").collect()
+    trail = read_audit(spark, job.audit).orderBy("at").collect()
     assert [row.status for row in trail] == ["Started", "InProcessing", "Completed"]
     append_report(report, str(tmp_path / "all"))
     append_report(report, str(tmp_path / "all"))
@@ -109,7 +110,7 @@ def test_jobs_share_audit_and_report_tables(spark, properties, tmp_path):
     audit, reports = str(tmp_path / "audit"), str(tmp_path / "reports")
     jobs = [IngestJob.from_properties({**properties, "TAR_FILE_NM": f"out{i}", "REPORT_FILE_NM": f"r{i}"}, audit=audit, reports=reports) for i in range(16)]
     assert all(not isinstance(r, Exception) for _, r in run_all(spark, jobs))
-    assert spark.read.parquet(audit).where("status = 'Completed'").count() == 16
+    assert read_audit(spark, audit).where("status = 'Completed'").count() == 16
     assert spark.read.parquet(reports).count() == 16
 
 
@@ -124,7 +125,7 @@ def test_failure_is_noted_and_raised(spark, properties, tmp_path):
     job = IngestJob.from_properties({**properties, "SRC_FILE_NM": "missing"}, audit=str(tmp_path / "audit"))
     with pytest.raises(Exception, match="(?i)path"):
         run_ingest(spark, job)
-    failed = spark.read.parquet(job.audit).filter("status = 'failed'").first()
+    failed = read_audit(spark, job.audit).filter("status = 'failed'").first()
     assert failed.job == "missing" and "missing" in failed.error
 
 
@@ -171,7 +172,7 @@ def test_typed_ingest_leaves_an_audit_trail(spark, tmp_path):
     assert len(glob.glob(str(tmp_path / "out" / "extract_date=*"))) == 1
     with pytest.raises(Exception):
         run_typed_ingest(spark, str(tmp_path / "none.csv"), str(tmp_path / "out"), audit=str(tmp_path / "audit"))
-    trail = [row.status for row in spark.read.parquet(str(tmp_path / "audit")).orderBy("at").collect()]
+    trail = [row.status for row in read_audit(spark, str(tmp_path / "audit")).orderBy("at").collect()]
     assert trail == ["Started", "InProcessing", "Completed", "Started", "InProcessing", "failed"]
 
 
@@ -198,3 +199,44 @@ def test_dialect_of_output_is_that_of_input(spark, properties):
     job = IngestJob.from_properties(properties)
     assert job.dialect.quote == APOSTROPHE_DIALECT.quote
     assert job.dialect.write_options()["quote"] == job.dialect.read_options()["quote"] == "'"
+
+
+def test_an_empty_file_replaces_earlier_output_and_quarantine(spark, properties, tmp_path):
+    (tmp_path / "in" / "pay_data.dsv").write_text("\n".join([*ROWS, "narrow"]) + "\n")
+    for settings in ({}, {"exact_files": True}, {"stamp": "2021-01-01_00_00_00"}):
+        job = IngestJob.from_properties({**properties, "TAR_FILE_NM": "pay" + "-".join(settings)}, quarantine=str(tmp_path / "aside"), **settings)
+        text = (tmp_path / "in" / "pay_data.dsv").read_text()
+        assert run_ingest(spark, job).first().dedup_count == 3
+        assert spark.read.parquet(job.quarantine).count() == 1
+        (tmp_path / "in" / "pay_data.dsv").write_text("")
+        assert run_ingest(spark, job).first().dedup_count == 0
+        assert spark.read.schema("_c0 string").option("recursiveFileLookup", True).csv(job.target).count() == 0
+        assert spark.read.parquet(job.quarantine).count() == 0
+        (tmp_path / "in" / "pay_data.dsv").write_text(text)
+
+
+def test_same_names_in_two_folders_have_two_outputs(properties):
+    properties = {**properties, "TAR_FILE_NM": ""}
+    targets = {IngestJob.from_properties({**properties, "SRC_FILE_PATH": path}).target for path in ("/in/1", "/in/2", "hdfs://n/in/3")}
+    assert len(targets) == 3 and all(t.startswith(properties["TAR_FILE_PATH"]) for t in targets)
+
+
+def test_jobs_with_one_target_are_refused(spark, properties):
+    job = IngestJob.from_properties(properties)
+    with pytest.raises(ValueError, match="several jobs write to"):
+        run_all(spark, [job, IngestJob.from_properties({**properties, "SRC_FILE_NM": "other"})])
+    assert not glob.glob(f"{job.target}*")
+
+
+def test_an_audit_trail_is_one_file_a_run(spark, properties, tmp_path):
+    job = IngestJob.from_properties(properties, audit=str(tmp_path / "audit"))
+    run_ingest(spark, job)
+    assert len([f for f in os.listdir(job.audit) if f.endswith(".json")]) == 1
+    rows = read_audit(spark, job.audit).orderBy("at").collect()
+    assert [r.status for r in rows] == ["Started", "InProcessing", "Completed"] and all(r.at and r.error is None for r in rows)
+
+
+def test_misfits_are_counted_while_loading(spark):
+    df = spark.createDataFrame([("1", "x", "2019-01-01"), ("no", "y", "never"), (None, None, "")], "_c0 string, _c1 string, _c2 string")
+    assert load_table(df, "typed_misfits", "n int, s string, d date") == {"n": 1, "s": 0, "d": 2}
+    assert spark.table("typed_misfits").columns == ["n", "s", "d"] and spark.table("typed_misfits").count() == 3

@@ -14,7 +14,7 @@ from shoreline.operators.events import (
 )
 from shoreline.operators.offsets import offset_ledger, starting_offsets_json, starting_positions
 from shoreline.sources.kafka import kafka_options, text_records
-from shoreline.sources.records import field_type, inferred_schema, narrow_schema, read_json_records
+from shoreline.sources.records import field_type, inferred_schema, is_one_document, narrow_schema, read_json_records
 
 
 def event(event_id, entities=(), **fields):
@@ -187,3 +187,12 @@ def test_records_as_text(spark):
         "key": "k",
         "value": "two\nlines",
     }
+
+
+def test_text_behind_a_document_is_found(spark):
+    whole = ['{"a":1}', ' {"a":[{"b":"]"}]} \n', '{"a":"x] y"}', "{}"]
+    more = ['{"a":1}] junk', '{"a":1}],[{"b":2}', '{"a":1}{"a":1}', '{"a":1},0', '{"a":1},0] junk', '{"a":1} x', '{"a":1}]', "", "junk", '{"a":', '{"a":1}],0]']
+    rows = spark.createDataFrame([(t, t in whole) for t in whole + more] + [(None, False)], "value string, expected boolean")
+    assert rows.where(is_one_document("value") != F.col("expected")).collect() == []
+    parsed = route_events(parse_events(rows, "a string, originatingEvent struct<chargebackId: string, fraudTransactionId: string>"))
+    assert {r.value: r.route for r in parsed.collect()} == {t: "asyncout" for t in whole} | {t: "quarantine" for t in more} | {None: "quarantine"}

@@ -3,10 +3,11 @@ from pyspark.sql import functions as F
 
 from shoreline.functions.schematypes import ddl_type
 from shoreline.functions.stamps import file_stamp, joined_path, trimmed_list
-from shoreline.operators.manifest import derive_names, job_table, match_companions, number_files
+from shoreline.operators.manifest import derive_names, job_table, match_companions, number_files, with_settings, without_settings
 from shoreline.operators.union import union_requests
 from shoreline.plans.batch_ingest import jobs_from
 from shoreline.sources.landing import list_landed
+from shoreline.sources.listing import listed
 from shoreline.sources.properties import job_properties, property_lines, read_descriptors
 from shoreline.sources.schema_files import read_schema_files, schema_columns, schema_ddl
 
@@ -167,3 +168,40 @@ def test_names_that_spark_hides_are_listed(spark, tmp_path):
         (tmp_path / "in" / "deep" / name).write_text("a")
     found = list_landed(spark, str(tmp_path / "in")).collect()
     assert sorted(r.path.rsplit("/", 1)[1] for r in found) == [".y_data.dsv", "_x_data.dsv", "z_data.dsv"]
+
+
+def test_folders_are_listed_level_by_level(spark, tmp_path):
+    expected = set()
+    for i in range(30):
+        folder = tmp_path / f"d{i % 3}" / f"_e{i % 5}" / f"f {i}%"
+        folder.mkdir(parents=True)
+        for j in range(i % 4):
+            (folder / f".{j}_data.dsv").write_text("x" * j)
+            expected.add((str(folder / f".{j}_data.dsv"), j))
+    (tmp_path / "empty").mkdir()
+    found = listed(spark, [str(tmp_path / "d0"), f"file://{tmp_path}/d1", f"{tmp_path}/d2/", str(tmp_path / "empty")])
+    assert {(r.path, r.length) for r in found.collect()} == expected
+    assert listed(spark, []).count() == 0
+    with pytest.raises(Exception, match="(?i)no such|not exist|not found"):
+        listed(spark, [str(tmp_path / "missing")]).count()
+
+
+def test_folders_are_dealt_to_several_tasks(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"d{i}").mkdir()
+        (tmp_path / f"d{i}" / "a_data.dsv").write_text("x")
+    spark.sparkContext.setJobGroup("listing", "")
+    listed(spark, [str(tmp_path)])
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages if s) >= 16
+
+
+def test_settings_of_tables(spark):
+    jobs = spark.createDataFrame([("A", "/in/1"), ("B", "/in/2"), (None, "/in/3")], "TBL_NAME string, SRC_FILE_PATH string")
+    settings = spark.createDataFrame([("A", "_c0"), ("C", "_c1"), (None, "_c2")], "TBL_NAME string, Dedup_Key string")
+    assert [tuple(r) for r in with_settings(jobs, settings).collect()] == [("A", "/in/1", "_c0")]
+    assert sorted(r.SRC_FILE_PATH for r in without_settings(jobs, settings).collect()) == ["/in/2", "/in/3"]
+    with pytest.raises(ValueError, match="several settings for A"):
+        with_settings(jobs, settings.union(settings))
