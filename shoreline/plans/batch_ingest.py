@@ -56,6 +56,9 @@ class IngestJob:
     #: Spread the rows over so many tasks before deduplicating. For files that one task each
     #: must read (gzip, multi-line records); others are split anyway.
     spread: int | None = None
+    #: Read large files with multi-line records in splits: three passes by many tasks instead of one
+    #: pass by one task per file.
+    in_splits: bool = False
     dialect: Dialect = APOSTROPHE_DIALECT
     #: Fields a record has; None takes the first line's width.
     width: int | None = None
@@ -131,7 +134,7 @@ def open_source(spark: SparkSession, job: IngestJob) -> DataFrame:
         if not len(schema):
             return spark.createDataFrame([], schema)
         return read_compressed(spark, job.source, job.dialect.with_(infer=False), schema, job.spread)
-    source = read_checked(spark, job.source, job.dialect, job.width)
+    source = read_checked(spark, job.source, job.dialect, job.width, job.in_splits)
     return source.repartition(job.spread) if job.spread else source
 
 

@@ -19,6 +19,7 @@ from shoreline.queries.registry import query
 from shoreline.session import scratch_path, spread
 from shoreline.sources.delimited import schema_from_names
 from shoreline.sources.kafka import text_records
+from shoreline.sources.schemas import VERSION_COLUMN, SchemaVersions, read_versions
 from shoreline.sources.records import inferred_schema, parse_json, read_json_records
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -164,6 +165,37 @@ def line_items_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_child(parse_events(orders, schema), "event.lineItems", ["o_orderkey"], outer=True)
 
 
+@query("""
+SELECT event_id, CAST(CASE event_id % 3 WHEN 0 THEN floor(value) ELSE value END AS DOUBLE) AS amount,
+  CASE event_id % 3 WHEN 1 THEN CAST(user_id AS VARCHAR) WHEN 2 THEN 'U' || user_id END AS who,
+  CASE WHEN event_id % 3 = 2 THEN event_type END AS tag, CAST(event_id % 3 + 1 AS INTEGER) AS schema_version
+FROM events
+""")
+def event_schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches whose records get more fields, wider numbers and a type that does not fit the earlier one."""
+    events = table(spark, sf_dir, "events")
+    versions, path = SchemaVersions(spark, scratch_path(spark, "schemas")), scratch_path(spark, "versions")
+    fields = [
+        [F.floor("value").alias("amount")],
+        [F.col("value").alias("amount"), F.struct(F.col("user_id").alias("id")).alias("who")],
+        [
+            F.col("value").alias("amount"),
+            F.struct(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("id")).alias("who"),
+            F.array("event_type").alias("tags"),
+        ],
+    ]
+    for number, columns in enumerate(fields):
+        batch = events.where(F.col("event_id") % 3 == number)
+        records = batch.select(F.to_json(F.struct("event_id", *columns)).alias("value"))
+        version, schema = versions.grow(inferred_schema(records))
+        parsed = records.select(parse_json("value", schema).alias("record")).select(*[f"record.{name}" for name in schema.names])
+        parsed.write.parquet(f"{path}/{VERSION_COLUMN}={version}")
+    rows = read_versions(spark, path, versions)
+    return rows.select(
+        F.col("event_id").cast("bigint"), F.col("amount").cast("double"), F.col("who.id").alias("who"), F.col("tags")[0].alias("tag"), VERSION_COLUMN
+    )
+
+
 @query("""
 SELECT props AS value, event_id AS offset, strftime(ts, '%H:%M:%S') AS handled_time,
        strftime(ts, '%Y-%m-%d') AS handled_date

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from shoreline.operators.offsets import not_landed, starting_positions
 from shoreline.queries.inputs import BATCHES, FEED_SQL, arrivals, feed, plain_feed, table
 from shoreline.queries.registry import query
-from shoreline.session import scratch_path
+from shoreline.session import path_exists, scratch_path
 from shoreline.streaming.jobs import (
     current_counts,
     keep_counts,
@@ -22,6 +25,7 @@ from shoreline.streaming.jobs import (
     routed,
 )
 from shoreline.streaming.commits import read_committed
+from shoreline.streaming.progress import ProgressLedger, observed_ranges, observing_ranges, read_progress
 from shoreline.streaming.sinks import start, write_batch
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
@@ -58,11 +62,14 @@ def stream_route_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""
+LEDGER_SQL = f"""
 WITH {FEED_SQL}
 SELECT topic, part AS partition, min(event_id) AS from_offset, max(event_id) + 1 AS until_offset
 FROM feed GROUP BY topic, part, event_id * {BATCHES} // (SELECT max(event_id) + 1 FROM events)
-""")
+"""
+
+
+@query(LEDGER_SQL)
 def stream_offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ledger = scratch_path(spark, "routed"), scratch_path(spark, "ledger")
     records = feed(arrivals(spark, sf_dir, "events", "event_id"))
@@ -70,6 +77,27 @@ def stream_offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_committed(spark, ledger, commits_of=path).select("topic", "partition", "from_offset", "until_offset")
 
 
+@query(LEDGER_SQL)
+def stream_progress_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ledger as the stream's own progress tells it, without another look at the records."""
+    path, told, name = scratch_path(spark, "landed"), scratch_path(spark, "progress"), f"progress-{uuid.uuid4().hex}"
+    known = [tuple(r) for r in plain_feed(table(spark, sf_dir, "events")).select("topic", "partition").distinct().collect()]
+    records = observing_ranges(plain_feed(arrivals(spark, sf_dir, "events", "event_id")), known)
+    ledger = ProgressLedger(spark, told, {name})
+    spark.streams.addListener(ledger)
+    try:
+        query = start(land_raw(records, path), scratch_path(spark, "checkpoint"), name=name)
+        query.awaitTermination()
+        last = f"{told}/{query.id}-{query.lastProgress['batchId']}.json"
+        for _ in range(600):  # listeners hear a little later than the query ends
+            if path_exists(spark, last):
+                break
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(ledger)
+    return observed_ranges(read_progress(spark, told)).select("topic", "partition", "from_offset", "until_offset")
+
+
 @query(f"""
 WITH {FEED_SQL}
 SELECT topic, '{{"topic":"' || topic || '","partition":' || part || ',"offset":' || f.event_id

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from shoreline.sources.dialect import BEL_DIALECT, Dialect
-
+from shoreline.sources.multiline import read_multiline
 
 #: Column that holds records of another width than expected.
 MISFIT = "_misfit"
@@ -31,18 +31,25 @@ def read_delimited(
 
 
 def read_checked(
-    spark: SparkSession, path: str | list[str], dialect: Dialect = BEL_DIALECT, width: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    dialect: Dialect = BEL_DIALECT,
+    width: int | None = None,
+    in_splits: bool = False,
 ) -> DataFrame:
     """Text columns ``_c0 .. _cN`` and ``_misfit``: a record's whole text where its width is another.
 
     Without ``width`` the first line's is expected; an empty source then has no columns. A
     record that is wider or narrower is never cut or filled silently: its ``_misfit`` says so.
+    ``in_splits`` reads each file with multi-line records by several tasks.
     """
     if width is None:
         width = len(read_delimited(spark, path, dialect).columns)
     if not width:
         return spark.createDataFrame([], StructType([]))
     schema = StructType([*positional_schema(width).fields, StructField(MISFIT, StringType(), True)])
+    if dialect.multiline and in_splits:
+        return read_multiline(spark, path, dialect, schema, columnNameOfCorruptRecord=MISFIT, mode="PERMISSIVE")
     options = {**dialect.read_options(), "columnNameOfCorruptRecord": MISFIT, "columnPruning": "false"}
     return spark.read.options(**options).schema(schema).csv(path)
 
