@@ -27,7 +27,7 @@ from shoreline.operators.events import (
 )
 from shoreline.operators.offsets import offset_ledger
 from shoreline.streaming.commits import begin, committed
-from shoreline.streaming.replays import ensure_index, index_path, key_prints, suspects, without_landed
+from shoreline.streaming.replays import MONTH_COLUMN, ensure_index, index_path, key_prints, suspects, without_landed
 from shoreline.streaming.sinks import batch_fields, for_each_batch, run_identity, write_batch
 
 # The sliding window.
@@ -141,7 +141,7 @@ def keep_counts(
     length: str = WINDOW_LENGTH,
     slide: str = WINDOW_SLIDE,
     by: Sequence[str] = ("topic",),
-    files: int = 4,
+    files: int = 1,
 ) -> DataStreamWriter:
     """Write each batch's records per pane; :func:`current_counts` sums panes up to windows.
 
@@ -204,7 +204,7 @@ def land_without_replays(
         dates = [row.event_date for row in dated.select("event_date").distinct().toLocalIterator()]
         places = suspects(spark, path, fresh, key, dates, run, batch_id)
         fresh = without_landed(fresh, committed(landed, path), key, places)
-        write_batch(key_prints(fresh, key), batch_id, index_path(path), ["event_date"], commits=False)
+        write_batch(key_prints(fresh, key), batch_id, index_path(path), [MONTH_COLUMN], commits=False)
         write_batch(fresh, batch_id, path, ["event_date"], files=files)
 
     return records.writeStream.foreachBatch(for_each_batch(handle))
