@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import decontaminate, linededup, mixing, nearcopies, toxicity
+from shoreline.llm import decontaminate, linededup, mixing, simhash, toxicity
 from shoreline.llm.common import table, unused_name, written
 
 #: Shares of all tokens for documents of good and of poor quality; toxic ones have left before.
@@ -34,12 +34,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose five-word shingles are similar to 0.8 or more the one with the smallest id stays."""
-    return nearcopies.one_of_each(docs)
+    """Of documents linked by fingerprints of 4-word shingles that differ in 4 bits or fewer the one with the smallest id stays."""
+    return simhash.one_of_each(docs, radius=4, shingle=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share a window with a benchmark item go."""
+    """Documents that share a whole window with a benchmark item go, or consist of items by half or more."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
