@@ -39,6 +39,8 @@ from shoreline.session import scratch_path
 
 PACKAGE_BYTES = 256 << 20
 SPLIT_BYTES = 8 << 20
+#: Tasks that read splits; beyond that one reads several, one after the other.
+MAX_READERS = 100_000
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -228,7 +230,9 @@ def read_packages(spark: SparkSession, packages: DataFrame, folder: str) -> Data
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), types.values())]
                 yield pa.RecordBatch.from_arrays(columns, names=list(types))
 
-    return splits.repartition("path", "starts").mapInArrow(run, RECORD)
+    # A given number of partitions stays: by key alone the small rows, of megabytes each, would be merged into one task.
+    tasks = min(max(1, splits.count()), MAX_READERS)
+    return splits.repartition(tasks, "path", "starts").mapInArrow(run, RECORD)
 
 
 def archived(pages: DataFrame, min_bytes: int = 0) -> DataFrame:

@@ -47,6 +47,16 @@ def test_round_trip(spark, least):
     assert next(r.url for r in rows if r.page_id == 3) == "http://a/ü?x=1%2520%20%0D%0A"
 
 
+def test_splits_are_read_by_as_many_tasks(spark, monkeypatch):
+    """Rows of splits are tiny, so by size alone one task would get them all."""
+    monkeypatch.setattr(warczip, "SPLIT_BYTES", 2000)
+    pages = spark.createDataFrame([(i, "u", hashlib.sha512(b"%d" % i).hexdigest() * 8, "d", 1) for i in range(200)], SCHEMA)
+    records = warczip.archived(pages)
+    assert records.rdd.getNumPartitions() >= 16 and records.count() == 200
+    used = records.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(n > 0 for n in used) >= 8
+
+
 def test_empty_table(spark):
     assert warczip.archived(spark.createDataFrame([], SCHEMA)).collect() == []
 
