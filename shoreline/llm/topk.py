@@ -13,8 +13,8 @@ task goes through its slice of blocks in descending length. Blocks of queries an
 are paired through a join on block numbers; a slice holds a bounded number of blocks, so no
 task sees all candidates. Scores are exact integers while they fit in 64 bits.
 
-Edge cases. Vectors that are null, or hold null or non-finite components, take no part; shorter
-vectors count as ended by zeros. A candidate never has its query's id. Rows that repeat an id are each
+Edge cases. Vectors that are null, or hold null or non-finite components, take no part, nor do rows
+without an id, which could not be named as a result; shorter vectors count as ended by zeros. A candidate never has its query's id. Rows that repeat an id are each
 a candidate; of repeated query ids the vector that sorts first is the query. Extra columns are ignored.
 """
 
@@ -45,7 +45,8 @@ def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     """``vec_id`` and ``v``, floor(scale * component) of each vector that takes part."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
-    return vectors.where(F.col("embedding").isNotNull() & finite).select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("v"))
+    there = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
+    return vectors.where(there & finite).select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("v"))
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:

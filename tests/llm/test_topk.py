@@ -31,7 +31,7 @@ def test_cases(spark, monkeypatch, sizes):
     rows = [(i, (rng.normal(size=30) * rng.lognormal()).tolist()) for i in range(150)]
     rows += [(200 + i, [1.0] * 30) for i in range(30)]
     rows += [(301, None), (302, [1.0, None]), (303, [float("nan")] * 30), (304, [float("inf")] * 30), (305, []), (306, [2.0]), (320, [0.0] * 30)]
-    rows += [(5, rows[5][1]), (40, rows[40][1]), (340, [1e4] * 30)]
+    rows += [(5, rows[5][1]), (40, rows[40][1]), (340, [1e4] * 30), (None, [1e3] * 30), (None, None)]
     frame = spark.createDataFrame([(i, e, 1, "v", 2) for i, e in rows], SCHEMA)
     found = sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 20 == 0, k=8).collect()))
     assert found == brute(rows, 8)
