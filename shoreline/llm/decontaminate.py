@@ -169,8 +169,15 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that share no window with an item."""
-    found = contamination(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.col("tag").alias("hit_tag"))
+def clean_documents(docs: DataFrame, items: DataFrame, share: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated.
+
+    A document goes for one occurring window of ``WINDOW`` words, or if windows of shorter items
+    make up ``share`` of its words: an item of a word or two is found in many clean documents.
+    """
+    whole = F.exists("spans", lambda span: span["length"] == WINDOW)
+    much = (F.col("n_hit") > 0) & (F.col("n_hit") >= share * F.col("n_words"))
+    gone = contamination(docs, items).where(whole | much)
+    found = gone.select(F.col("doc_id").alias("hit_id"), F.col("tag").alias("hit_tag"))
     same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(docs["text"]) == F.col("hit_tag"))
     return docs.join(found.distinct().hint("merge"), same, "left_anti")

@@ -71,8 +71,21 @@ def test_cases(spark, monkeypatch, limit):
     assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found), key=str) == brute(CASES, BENCH)
     kept = decontaminate.clean_documents(docs, items)
     assert kept.columns == docs.columns
-    clean = [d for d, _, n, _ in brute(CASES, BENCH) if n == 0]
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(clean, key=str)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((d for d, t in CASES if not gone(t, BENCH)), key=str)
+
+
+def gone(text, bench):
+    """A whole window of ten words occurs, or half of the words are hit."""
+    _, n_words, n_hit, _ = brute([(0, text)], bench)[0]
+    long = [(i, t) for i, t in bench if len(words(t)) >= 10]
+    return brute([(0, text)], long)[0][2] > 0 or (n_hit > 0 and 2 * n_hit >= n_words)
+
+
+def test_an_item_of_one_word_removes_no_corpus(spark):
+    texts = ["yes we can do this today", "no and yes", "yes", "yes yes no", "", None, "say yes " + ITEM]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 1, "w") for i, t in enumerate(texts)], DOCS)
+    items = spark.createDataFrame([(1, "Yes.", "w", 1), (2, ITEM, "w", 1)], ITEMS)
+    assert sorted(r.doc_id for r in decontaminate.clean_documents(docs, items).collect()) == [0, 1, 4, 5]
 
 
 def test_empty_tables(spark):
