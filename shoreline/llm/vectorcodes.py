@@ -39,8 +39,8 @@ from shoreline.llm.common import unused_name, written
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Components as integers, times the vector's length, stay below this on both sides of 0.
 LIMIT = 1 << 31
-#: Parts that are searched for together.
-TOGETHER = 8192
+#: Parts that are searched for together, and entries they are compared with at once.
+TOGETHER, STEP = 512, 16
 
 
 def usable(vector: Column) -> Column:
@@ -50,35 +50,54 @@ def usable(vector: Column) -> Column:
 
 
 def nearest(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number and squared distance of the nearest entry of ``book`` for each part, by equal averages."""
+    """Number and squared distance of the nearest entry of ``book`` for each part, by equal averages.
+
+    Parts with close sums share a window of entries that grows outward, ``STEP`` entries at a
+    time, as long as one of them needs it; only those that do are compared.
+    """
     entries, dimension = book.shape
-    sums = book.sum(axis=1)
-    by_sum = np.argsort(sums, kind="stable")
-    sums, book = sums[by_sum], book[by_sum]
     far = np.iinfo(np.int64).max
-    chosen, best = np.zeros(len(parts), np.int64), np.full(len(parts), far)
-    own = parts.sum(axis=1)
-    up = np.searchsorted(sums, own)
-    down = up - 1
-    at = np.arange(len(parts) if entries and dimension else 0)
-    while len(at):
-        above = np.where(up[at] < entries, sums[np.minimum(up[at], entries - 1)] - own[at], far)
-        below = np.where(down[at] >= 0, own[at] - sums[np.maximum(down[at], 0)], far)
-        rising = above <= below
-        gap = np.where(rising, above, below)
-        reached = best[at]
-        some, unseen = gap != far, reached == far
-        within = np.where(some, gap, 0) ** 2 <= np.where(unseen, 0, reached) * dimension
-        at, rising = at[some & (unseen | within)], rising[some & (unseen | within)]
-        entry = np.where(rising, up[at], down[at])
-        distance = ((parts[at] - book[entry]) ** 2).sum(axis=1)
-        number = by_sum[entry]
-        nearer = (distance < best[at]) | ((distance == best[at]) & (number < chosen[at]))
-        best[at[nearer]], chosen[at[nearer]] = distance[nearer], number[nearer]
-        up[at[rising]] += 1
-        down[at[~rising]] -= 1
-    if not dimension:
-        best[:] = 0
+    chosen, best = np.zeros(len(parts), np.int64), np.full(len(parts), far if dimension else 0)
+    if not len(parts) or not entries or not dimension:
+        return chosen, best
+    by_sum = np.argsort(book.sum(axis=1), kind="stable")
+    book = book[by_sum]
+    sums, own = book.sum(axis=1), parts.sum(axis=1)
+    peak = max(int(np.abs(book).max()), int(np.abs(parts).max()))
+    # Products of floats are faster, and exact as far as all their sums are.
+    number = np.float64 if 4 * dimension * peak**2 < 1 << 53 else np.int64
+    columns, book_squares = book.T.astype(number), (book**2).sum(axis=1)
+    order = np.argsort(own, kind="stable")
+    for group in (order[at : at + TOGETHER] for at in range(0, len(order), TOGETHER)):
+        rows, sum_of = parts[group].astype(number), own[group]
+        squares, near, which = (parts[group] ** 2).sum(axis=1), np.full(len(group), far), np.zeros(len(group), np.int64)
+
+        def open_parts(gap: np.ndarray) -> np.ndarray:
+            unseen = near == far
+            return np.flatnonzero(unseen | (np.maximum(gap, 0) ** 2 <= np.where(unseen, 0, near) * dimension))
+
+        def compare(some: np.ndarray, begin: int, end: int) -> None:
+            lower = np.argsort(by_sum[begin:end]) + begin
+            products = (rows[some] @ columns[:, lower]).astype(np.int64)
+            distances = squares[some, None] + book_squares[lower] - 2 * products
+            place = distances.argmin(axis=1)
+            distance, entry = distances[np.arange(len(some)), place], by_sum[lower[place]]
+            nearer = (distance < near[some]) | ((distance == near[some]) & (entry < which[some]))
+            near[some[nearer]], which[some[nearer]] = distance[nearer], entry[nearer]
+
+        low = high = int(np.searchsorted(sums, sum_of[len(group) // 2]))
+        growing = True
+        while growing:
+            growing = False
+            if high < entries and len(some := open_parts(sums[high] - sum_of)):
+                end = min(high + STEP, entries)
+                compare(some, high, end)
+                high, growing = end, True
+            if low > 0 and len(some := open_parts(sum_of - sums[low - 1])):
+                begin = max(low - STEP, 0)
+                compare(some, begin, low)
+                low, growing = begin, True
+        chosen[group], best[group] = which, near
     return chosen, best
 
 
@@ -95,11 +114,7 @@ class Codebooks:
     def search(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Entry number and squared distance, by vector and part."""
         cut = vectors.reshape(len(vectors), PARTS, -1)
-        found = [
-            [nearest(cut[at : at + TOGETHER, part], book) for at in range(0, len(cut), TOGETHER)]
-            for part, book in enumerate(self.entries)
-        ]
-        codes, errors = ([np.concatenate([one[i] for one in part]) for part in found] for i in (0, 1))
+        codes, errors = zip(*(nearest(cut[:, part], book) for part, book in enumerate(self.entries)))
         return np.stack(codes, axis=1), np.stack(errors, axis=1)
 
 
