@@ -3,10 +3,16 @@
 Documents belong to domains by degrees. A naive Bayes classifier learns from labelled rows and
 gives every document a probability for each domain; a document's tokens count for the domains
 in these proportions. The rates (how often to take a document, 0 or more) then minimise the squared
-difference between the expected tokens of each domain and its target by projected gradient:
-a step changes every rate in proportion to its document's probabilities and cuts it at 0.
-Steps are scaled by the inverse of the domains' second moments, so that few are needed. A step
-is one aggregation to as many numbers as there are domains; rates follow from the steps.
+difference between the expected tokens of each domain and its target. A slight pull of all rates
+towards 1 (``RIDGE``) makes the best rates unique: of those that meet the targets, the ones
+that change least.
+
+The descent is a projected gradient with lazy projection: gradients are added up as they are, and
+their sum is cut at rate 0 when it is used. So a rate is ``max(0, 1 - p . sums)`` however many
+steps there were, with one number per domain. Steps are scaled by the inverse second moments of the
+documents whose rate is above 0, and halved where they do not improve. A step is one aggregation.
+What is left of the gradient bounds how far the domains' tokens are from the best ones: by twice its
+length. Steps end when it is ``TOLERANCE`` of all tokens; a fit that stops earlier warns.
 
 Features of a text are hashes of its words (A-Z in lower case) and of their last two
 characters. ``MAX_LABELLED`` labelled rows are learned from, the first by a hash of their id;
@@ -15,11 +21,13 @@ their counts fill two tables of ``BUCKETS`` rows, which is the bound of what is
 Edge cases. A null, empty or blank text has no tokens and the prior's probabilities. Rows without
 ``doc_id`` are classified but never learned from. Rows that repeat are documents of their own. Domains
 without labelled rows keep a small prior. If targets cannot be met with rates of 0 or more, the
-rates are a best approximation. Further columns go through.
+rates give the tokens nearest to them. Without any token all rates are 1. Further columns go through.
 """
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -34,7 +42,10 @@ BUCKETS = 1 << 16
 #: A text counts as this many words of evidence, however long it is; keeps probabilities soft.
 EVIDENCE = 30.0
 
-STEPS, TOLERANCE = 50, 1e-9
+RIDGE, TOLERANCE = 1e-9, 1e-10
+
+#: Looks at the rows before a fit gives up. 2 to 10 do where targets can be met, some 50 where they are far off.
+MAX_LOOKS = 100
 BLANK = r"[\x20\x09-\x0D]+"
 
 
@@ -97,33 +108,61 @@ def posteriors(docs: DataFrame, labels: DataFrame, domains: list[str], domain: C
     return exps.select("doc_id", "tag", "n_tokens", *((F.col(f"e_{i}") / total).alias(f"p_{i}") for i in range(len(domains))))
 
 
-def _rate(steps: list[np.ndarray]) -> Column:
-    """The rate after all steps so far, from the probabilities of a row; 1 before the first."""
-    rate = F.lit(1.0)
-    for step in steps:
-        change = reduce(lambda a, b: a + b, (F.col(f"p_{i}") * float(y) for i, y in enumerate(step)))
-        rate = F.greatest(F.lit(0.0), rate - change)
-    return rate
+@dataclass(frozen=True)
+class Fit:
+    """Rates as a column, the tokens above target by domain, and the gradient left, as shares of all tokens."""
+
+    rate: Column
+    gaps: list[float]
+    residual: float
+    looks: int
+
+
+def _dot(sums: np.ndarray) -> Column:
+    return reduce(lambda a, b: a + b, (F.col(f"p_{i}") * float(y) for i, y in enumerate(sums)))
 
 
-def fitted_rate(rows: DataFrame, shares: list[float]) -> Column:
+def fitted(rows: DataFrame, shares: list[float]) -> Fit:
     """The rates that fit expected tokens to ``shares`` of all tokens (a column over ``rows``)."""
-    k = len(shares)
-    n, p = F.col("n_tokens").cast("double"), [F.col(f"p_{i}") for i in range(k)]
-    moments = rows.agg(F.sum(n), *(F.sum(n * p[i] * p[j]) for i in range(k) for j in range(k))).first()
-    total = moments[0]
+    k, n = len(shares), F.col("n_tokens").cast("double")
+    total = rows.agg(F.sum(n)).first()[0]
     if not total:
-        return F.lit(1.0)
-    target = np.array(shares) / sum(shares) * total
-    scale = np.linalg.pinv(np.array(moments[1:]).reshape(k, k), hermitian=True)
-    steps: list[np.ndarray] = []
-    while len(steps) < STEPS:
-        rate = _rate(steps)
-        gap = np.array(rows.agg(*(F.sum(n * rate * p[i]) for i in range(k))).first()) - target
-        if np.abs(gap).max() <= TOLERANCE * total:
-            break
-        steps.append(scale @ gap)
-    return _rate(steps)
+        return Fit(F.lit(1.0), [0.0] * k, 0.0, 1)
+    target, ridge = np.array(shares) / sum(shares) * total, RIDGE * total
+    sides = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def look(sums: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """How good the sums are (higher is better), what is left of the gradient, moments, gaps."""
+        change = _dot(sums)
+        rate = F.greatest(F.lit(0.0), 1.0 - change)
+        seen = rows.withColumns({"taken": n * rate, "moved": n * ((rate - 1.0) * (rate - 1.0) / 2 + change * rate), "live": F.when(rate > 0, n).otherwise(0.0)})
+        found = seen.agg(
+            F.sum("moved"),
+            *(F.sum(F.col("taken") * F.col(f"p_{i}")) for i in range(k)),
+            *(F.sum(F.col("live") * F.col(f"p_{i}") * F.col(f"p_{j}")) for i, j in sides),
+        ).first()
+        gaps, moments = np.array(found[1 : k + 1]) - target, ridge * np.eye(k)
+        for (i, j), value in zip(sides, found[k + 1 :]):
+            moments[i, j] += value
+            moments[j, i] = moments[i, j]
+        return found[0] - sums @ target - ridge * (sums @ sums) / 2, gaps - ridge * sums, moments, gaps
+
+    sums = np.zeros(k)
+    value, left, moments, gaps = look(sums)
+    looks, size = 2, 1.0
+    while np.abs(left).max() > TOLERANCE * total and looks < MAX_LOOKS and size > 1e-9:
+        step = np.linalg.solve(moments, left)
+        ahead = look(sums + size * step)
+        looks += 1
+        # The last term is for sums of doubles that come in another order.
+        if ahead[0] >= value + 1e-4 * size * (left @ step) - 1e-13 * abs(value):
+            sums, (value, left, moments, gaps), size = sums + size * step, ahead, 1.0
+        else:
+            size /= 2
+    residual = float(np.abs(left).max() / total)
+    if residual > TOLERANCE:
+        warnings.warn(f"rates end with a gradient of {residual:.1e} of all tokens after {looks} looks", stacklevel=2)
+    return Fit(F.greatest(F.lit(0.0), 1.0 - _dot(sums)), (gaps / total).tolist(), residual, looks)
 
 
 def mixed(docs: DataFrame, labels: DataFrame, shares: dict[str, float], domain: Column) -> tuple[DataFrame, dict[str, str]]:
@@ -139,7 +178,7 @@ def mixed(docs: DataFrame, labels: DataFrame, shares: dict[str, float], domain:
     places = docs.select("doc_id", F.xxhash64("text").alias("tag"))
     same = places["doc_id"].eqNullSafe(found["found_id"]) & (places["tag"] == found["found_tag"])
     rows = written(places.join(found, same).select(numbers), "mixing")
-    rate = fitted_rate(rows, [shares[d] for d in domains])
+    rate = fitted(rows, [shares[d] for d in domains]).rate
     names = {w: unused_name(docs, n) for w, n in (("n_tokens", "n_tokens"), *((d, f"p_{d}") for d in domains), ("rate", "rate"))}
     rated = found.select(
         F.col("found_id").alias("_found_id"),

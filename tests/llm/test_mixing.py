@@ -27,7 +27,7 @@ def words(text):
 
 
 def brute(rows, labels, shares):
-    """Probabilities and rates, by dictionaries and dense numpy."""
+    """Probabilities, by dictionaries."""
     domains = list(shares)
     of = {}
     for doc_id, quality, toxic in labels:
@@ -58,12 +58,35 @@ def brute(rows, labels, shares):
         e = np.exp(np.array(logits) - max(logits))
         p.append(e / e.sum())
         n.append(len(ws))
-    p, n = np.array(p), np.array(n, float)
-    target = np.array([shares[d] for d in domains]) / sum(shares.values()) * n.sum()
-    rate, scale = np.ones(len(n)), np.linalg.pinv((p * n[:, None]).T @ p, hermitian=True)
-    for _ in range(mixing.STEPS):
-        rate = np.maximum(0, rate - p @ (scale @ ((n * rate) @ p - target)))
-    return [(doc_id, int(k), *q, r) for (doc_id, _), k, q, r in zip(rows, n, p, rate)]
+    return [(doc_id, int(k), *q) for (doc_id, _), k, q in zip(rows, n, p)]
+
+
+def non_negative(a, b):
+    """The least squares solution of 0 or more by active sets (Lawson and Hanson)."""
+    x, free = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    for _ in range(10 * a.shape[1]):
+        slope = a.T @ (b - a @ x)
+        slope[free] = -np.inf
+        if free.all() or slope.max() <= 1e-11 * np.abs(a.T @ b).max():
+            break
+        free[slope.argmax()] = True
+        while True:
+            inner = np.zeros_like(x)
+            inner[free] = np.linalg.lstsq(a[:, free], b, rcond=None)[0]
+            low = free & (inner <= 0)
+            if not low.any():
+                break
+            x = x + (x[low] / (x[low] - inner[low])).min() * (inner - x)
+            free &= x > 1e-13
+            x[~free] = 0
+        x = inner
+    return x
+
+
+def best_tokens(p, n, shares):
+    """The domains' shares of tokens nearest to the targets, by a solver that shares nothing with ``mixing``."""
+    weighted = (p * n[:, None]).T / n.sum()
+    return weighted @ non_negative(weighted, np.array(shares) / sum(shares))
 
 
 @pytest.mark.parametrize("shares", [DOMAIN_SHARES, {"good": 1, "toxic": 9, "poor": 0}, {"good": 1}])
@@ -79,7 +102,42 @@ def test_cases(spark, shares):
     key = lambda r: (str(r[0]), r[1], round(r[2], 6))
     got, expected = sorted(got, key=key), sorted(expected, key=key)
     assert [r[:2] for r in got] == [r[:2] for r in expected]
-    assert np.allclose([r[2:] for r in got], [r[2:] for r in expected], atol=1e-6)
+    assert np.allclose([r[2:-1] for r in got], [r[2:] for r in expected], atol=1e-6)
+    p, n, rate = np.array([r[2:-1] for r in got]), np.array([r[1] for r in got], float), np.array([r[-1] for r in got])
+    assert (rate >= 0).all()
+    assert np.allclose((n * rate) @ p / n.sum(), best_tokens(p, n, list(shares.values())), atol=1e-4)
+
+
+SHARES = [[0.5, 0.3, 0.2], [0.8, 0.1, 0.1], [0.1, 0.9, 0], [1, 0, 0], [0.999, 0.0005, 0.0005], [0, 0, 7]]
+
+
+@pytest.mark.parametrize("spread", [1, 5])
+def test_optimum(spark, spread):
+    """Tokens against the independent solver, also for targets that no rates meet; least change where they are met."""
+    random = np.random.default_rng(spread)
+    p = np.exp(random.normal(size=(300, 3)) * spread)
+    p /= p.sum(axis=1, keepdims=True)
+    n = random.integers(0, 500, 300).astype(float)
+    rows = spark.createDataFrame([(int(k), *map(float, q)) for k, q in zip(n, p)], "n_tokens int, p_0 double, p_1 double, p_2 double").cache()
+    for shares in SHARES:
+        fit = mixing.fitted(rows, shares)
+        rate = np.array([r.rate for r in rows.select(fit.rate.alias("rate")).collect()])
+        tokens, target = (n * rate) @ p / n.sum(), np.array(shares) / sum(shares)
+        assert fit.residual <= mixing.TOLERANCE and fit.looks < mixing.MAX_LOOKS
+        assert (rate >= 0).all() and np.allclose(tokens - target, fit.gaps, atol=1e-7)
+        best = best_tokens(p, n, shares)
+        # The pull towards rate 1 costs no more than it could gain at the best rates.
+        assert np.linalg.norm(tokens - target) <= np.linalg.norm(best - target) + 1e-4
+        if np.linalg.norm(best - target) < 1e-9:
+            assert np.abs(tokens - target).max() < 1e-5
+            # Any other way to the same tokens moves the rates further from 1.
+            live = (n > 0) & (rate > 0)
+            shift = random.normal(size=300) * live
+            weighted = (p * n[:, None])[live]
+            shift[live] -= p[live] @ np.linalg.lstsq(weighted.T @ p[live], weighted.T @ shift[live], rcond=None)[0]
+            other = rate + shift * 1e-3
+            assert np.allclose((n * other) @ p, (n * rate) @ p, atol=1e-6 * n.sum())
+            assert (n * (other - 1) ** 2).sum() > (n * (rate - 1) ** 2).sum()
 
 
 def test_empty_tables(spark):
