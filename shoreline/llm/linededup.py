@@ -54,7 +54,9 @@ def line_hashes(docs: DataFrame) -> DataFrame:
 def marked_lines(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``place`` of each line that goes."""
     order = ("h1", "h2", "doc_id", "place")
-    ranged = line_hashes(docs).repartitionByRange(*order).sortWithinPartitions(*order)
+    # Written first: the sample that the ranges come from would hash every line a second time.
+    hashes = written(line_hashes(docs), "line-hashes")
+    ranged = hashes.repartitionByRange(*order).sortWithinPartitions(*order)
     marks = written(ranged.mapInArrow(_stream, _MARKS), "line-marks")
     firsts = marks.where(f"kind = {_FIRST}").groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"))
     waiting = marks.where(f"kind = {_WAITING}").join(F.broadcast(firsts), ["h1", "h2"])
