@@ -2,16 +2,18 @@
 
 Vectors are sorted by descending length and packed into blocks. An orthogonal rotation (the
 eigenvectors of the Gram matrix, that is the right singular vectors) puts most of each vector
-into its leading components. For a block of queries and a block of candidates
+into its leading components. For a group of queries and a block of candidates
 
 * a block is skipped if the product of lengths is below every query's k-th best score so far;
 * the product of the leading components plus the product of the remaining lengths bounds the
   score (Cauchy-Schwarz); only candidates whose bound reaches the k-th best are multiplied out.
 
-The k-th best starts from the longest blocks, which every query meets first, and rises while a
-task goes through its slice of blocks in descending length. Blocks of queries and candidates
-are paired through a join on block numbers; a slice holds a bounded number of blocks, so no
-task sees all candidates. Scores are exact integers while they fit in 64 bits.
+The k-th best starts from the longest vectors, which every query meets first. It tells how short
+a candidate can be and still matter; queries that reach equally far are grouped. A share of
+groups meets a slice of blocks in one task, which holds the groups and goes through the blocks in
+descending length while the k-th best rises. So a block is shuffled once per share, not once per
+group, and a task holds a bounded number of queries and one block. Vectors travel as the smallest
+integers that hold all of them. Scores are exact integers while they fit in 64 bits.
 
 Edge cases. Vectors that are null, or hold null or non-finite components, take no part, nor do rows
 without an id, which could not be named as a result; shorter vectors count as ended by zeros. A candidate never has its query's id. Rows that repeat an id are each
@@ -29,16 +31,16 @@ from pyspark.sql import functions as F
 
 from shoreline.llm.common import written
 
-#: Candidates in a block, queries in a block, and blocks of candidates a task goes through.
-CANDIDATES, QUERIES, SLICE = 2048, 512, 64
+#: Candidates in a block, queries in a group, blocks of a slice and, at most, groups of a share.
+CANDIDATES, QUERIES, SLICE, SHARE = 2048, 512, 64, 64
 
-#: Candidates of the longest blocks, which give the first k-th best scores.
-HEAD_BLOCKS = 2
+#: The longest vectors, which give the first k-th best scores.
+HEAD = 4096
 
 #: Rotated components that are multiplied before a candidate's bound is known.
 LEADING = 24
 
-_BLOCK = "first bigint, n int, longest double, ids binary, vectors binary"
+_PACKED = "ids binary, vectors binary, floors binary, bound double"
 
 
 def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
@@ -57,6 +59,14 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return result
 
 
+def _narrowest(low: int | None, high: int | None) -> type:
+    """The smallest integer type for components from ``low`` to ``high``."""
+    for kind in (np.int16, np.int32):
+        if low is None or (np.iinfo(kind).min <= low and high <= np.iinfo(kind).max):
+            return kind
+    return np.int64
+
+
 def rotation(vectors: DataFrame, size: int) -> np.ndarray:
     """Orthogonal matrix whose columns are the directions of descending energy."""
 
@@ -73,75 +83,89 @@ def rotation(vectors: DataFrame, size: int) -> np.ndarray:
     return np.ascontiguousarray(np.linalg.eigh(gram.reshape(size, size))[1][:, ::-1])
 
 
-def _packed(size: int, limit: int):
-    """Consecutive rows of a partition as blocks of at most ``limit`` vectors."""
+def _packed(size: int, kind: type, limit: int):
+    """Consecutive rows ``vec_id``, ``v``, ``floor``, ``bound`` of a partition, up to ``limit`` in one.
+
+    The bound of the first row, which sorts first, holds for all of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, rows = np.empty(0, np.int64), np.empty((0, size), np.int64)
+        held = None
         for batch in batches:
-            ids = np.concatenate((ids, batch.column("vec_id").to_numpy()))
-            rows = np.concatenate((rows, _matrix(batch.column("v"), size)))
-            while len(ids) >= limit:
-                yield block(ids[:limit], rows[:limit])
-                ids, rows = ids[limit:], rows[limit:]
-        if len(ids):
-            yield block(ids, rows)
-
-    def block(ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-        longest = float(np.sqrt((rows.astype(np.float64) ** 2).sum(axis=1).max()))
-        values = [[int(ids[0])], [len(ids)], [longest], [ids.tobytes()], [rows.tobytes()]]
-        types = [pa.int64(), pa.int32(), pa.float64(), pa.binary(), pa.binary()]
-        names = ["first", "n", "longest", "ids", "vectors"]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=names)
+            numbers = [batch.column(c).to_numpy() for c in ("vec_id", "floor", "bound")]
+            columns = [*numbers, _matrix(batch.column("v"), size).astype(kind)]
+            held = columns if held is None else [np.concatenate(pair) for pair in zip(held, columns)]
+            while len(held[0]) >= limit:
+                yield pack(*(c[:limit] for c in held))
+                held = [c[limit:] for c in held]
+        if held is not None and len(held[0]):
+            yield pack(*held)
+
+    def pack(ids: np.ndarray, floors: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        values = [pa.array([x.tobytes()], pa.binary()) for x in (ids, rows, floors)]
+        return pa.RecordBatch.from_arrays([*values, pa.array(bounds[:1])], names=["ids", "vectors", "floors", "bound"])
 
     return run
 
 
-def _numbered(blocks: DataFrame, name: str) -> DataFrame:
-    """Blocks numbered from 0 by descending length.
+def _numbered(packed: DataFrame, name: str) -> DataFrame:
+    """``packed`` in the shared folder, with a ``number`` from 0 in the order of its partitions.
 
-    The window sees the few columns of block descriptions only, one row for thousands of vectors.
+    The window sees one row per partition, and so does the broadcast.
     """
-    order = Window.orderBy(F.desc("longest"), "file", "first")
-    stored = written(blocks.withColumn("file", F.monotonically_increasing_id()), name)
-    numbers = written(stored.select("file", "longest", "first", (F.row_number().over(order) - 1).alias("number")).select("file", "number"), name)
-    return stored.join(numbers, "file").drop("file")
+    stored = written(packed.withColumn("at", F.monotonically_increasing_id()), name)
+    parts = stored.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
+    starts = written(parts.select("part", before.alias("before")), name)
+    placed = stored.withColumn("part", F.shiftright("at", 33)).join(F.broadcast(starts), "part")
+    number = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
+    return placed.withColumn("number", number).drop("part", "before", "at")
 
 
-class _Queries:
-    """A block of queries with their best candidates so far."""
+class _Block:
+    """Vectors with their rotations, lengths, and lengths behind the leading components."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, turn: np.ndarray, k: int):
-        self.ids, self.rows, self.k = ids, rows, k
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, turn: np.ndarray):
+        self.ids, self.rows = ids, rows
         self.rotated = rows @ turn
         self.norms = np.linalg.norm(self.rotated, axis=1)
         self.rest = np.linalg.norm(self.rotated[:, LEADING:], axis=1)
-        self.floor = np.full(len(ids), -np.inf)
+
+
+class _Queries(_Block):
+    """A group of queries with their best candidates so far."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, turn: np.ndarray, k: int, floor: np.ndarray | None = None):
+        super().__init__(ids, rows, turn)
+        self.k, self.floor = k, np.full(len(ids), -np.inf) if floor is None else floor.copy()
         self.best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in ids]
 
-    def meet(self, ids: np.ndarray, rows: np.ndarray, turn: np.ndarray) -> None:
-        rotated = rows @ turn
-        norms = np.linalg.norm(rotated, axis=1)
-        slack = 1e-9 * (1 + self.norms.max() * norms.max(initial=0))
-        live = np.flatnonzero(self.norms * norms.max(initial=0) + slack >= self.floor)
+    def reach(self) -> np.ndarray:
+        """The length below which no candidate matters, by query."""
+        return np.where(self.floor <= 0, -np.inf, self.floor) / np.maximum(self.norms, 1e-300) * (1 - 1e-9)
+
+    def meet(self, block: _Block) -> None:
+        longest = block.norms.max(initial=0)
+        slack = 1e-9 * (1 + self.norms.max(initial=0) * longest)
+        live = np.flatnonzero(self.norms * longest + slack >= self.floor)
         if not len(live):
             return
-        bound = self.rotated[live, :LEADING] @ rotated[:, :LEADING].T
-        bound += np.outer(self.rest[live], np.linalg.norm(rotated[:, LEADING:], axis=1)) + slack
-        at, candidate = np.nonzero((bound >= self.floor[live, None]) & (ids[None, :] != self.ids[live, None]))
+        bound = self.rotated[live, :LEADING] @ block.rotated[:, :LEADING].T
+        bound += np.outer(self.rest[live], block.rest) + slack
+        at, candidate = np.nonzero((bound >= self.floor[live, None]) & (block.ids[None, :] != self.ids[live, None]))
         if not len(at):
             return
         if len(at) * 8 > bound.size:
-            scores = self._products(self.rows[live], rows.T)[at, candidate]
+            scores = self._products(self.rows[live], block.rows.T)[at, candidate]
         else:
-            scores = np.einsum("ij,ij->i", self.rows[live[at]], rows[candidate])
+            scores = np.einsum("ij,ij->i", self.rows[live[at]], block.rows[candidate])
         keep = scores >= self.floor[live[at]]
         at, candidate, scores = at[keep], candidate[keep], scores[keep]
         starts = np.flatnonzero(np.diff(at, prepend=-1))
         for start, end in zip(starts, [*starts[1:], len(at)]):
             i = live[at[start]]
             own_scores = np.concatenate((self.best[i][0], scores[start:end]))
-            own_ids = np.concatenate((self.best[i][1], ids[candidate[start:end]]))
+            own_ids = np.concatenate((self.best[i][1], block.ids[candidate[start:end]]))
             order = np.lexsort((own_ids, -own_scores))[: self.k]
             self.best[i] = own_scores[order], own_ids[order]
             if len(order) == self.k:
@@ -160,72 +184,75 @@ class _Queries:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
 
-def _unpacked(ids: bytes, vectors: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
-    found = np.frombuffer(ids, np.int64)
-    return found, np.frombuffer(vectors, np.int64).reshape(len(found), size)
-
-
 def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score`` of the ``k`` best of each query.
 
     ``queries`` is a condition on ``vec_id``. Ties go to the smaller ``vec_id``.
     """
-    base = quantised(vectors, scale)
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    base = written(base.withColumn("norm", norm), "vectors")
-    size = base.agg(F.max(F.size("v"))).first()[0] or 1
+    context = vectors.sparkSession.sparkContext
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    base = written(quantised(vectors, scale).withColumn("norm", F.sqrt(squares)), "vectors")
+    size, low, high = base.agg(F.max(F.size("v")), F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
+    size, kind = size or 1, _narrowest(low, high)
     turn = rotation(base, size)
-    ordered = base.repartitionByRange(F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id")
-    blocks = written(_numbered(ordered.select("vec_id", "v").mapInArrow(_packed(size, CANDIDATES), _BLOCK), "blocks"), "blocks")
-    asked = written(base.where(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
-    parts = max(1, -(-asked.count() // QUERIES))
-    groups = _numbered(asked.repartition(parts).mapInArrow(_packed(size, QUERIES), _BLOCK), "groups")
-    head = blocks.where(F.col("number") < HEAD_BLOCKS).orderBy("number").select("ids", "vectors").collect()
-    head = [(bytes(r.ids), bytes(r.vectors)) for r in head]
+    head = base.orderBy(F.desc("norm"), "vec_id").limit(HEAD).select("vec_id", "v").toArrow().combine_chunks().to_batches()
+    head = [(b.column("vec_id").to_numpy(), _matrix(b.column("v"), size).astype(kind)) for b in head]
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each query's first k-th best, and the shortest block that can still matter to one of them."""
+        """Each query with its first k-th best and the length of the shortest candidate that can matter."""
+        longest = [_Block(ids, rows.astype(np.int64), turn) for ids, rows in head]
         for batch in batches:
-            floors, needed = [], []
-            for ids, rows in zip(batch.column("ids").to_pylist(), batch.column("vectors").to_pylist()):
-                group = _Queries(*_unpacked(ids, rows, size), turn, k)
-                for other_ids, other_rows in head:
-                    group.meet(*_unpacked(other_ids, other_rows, size), turn)
-                floors.append(group.floor.tobytes())
-                reach = np.where(group.floor <= 0, -np.inf, group.floor) / np.maximum(group.norms, 1e-300)
-                needed.append(float(reach.min()) * (1 - 1e-9))
-            names = ["number", "q_ids", "q_vectors", "floors", "needed"]
-            columns = [batch.column(c) for c in ("number", "ids", "vectors")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(floors, pa.binary()), pa.array(needed)], names=names)
-
-    started = "number int, q_ids binary, q_vectors binary, floors binary, needed double"
-    groups = written(groups.select("number", "ids", "vectors").mapInArrow(begin, started), "started").withColumnRenamed("number", "group")
-    n_groups = groups.count()
-    numbers = F.sequence(F.lit(0), F.lit(n_groups - 1)) if n_groups else F.array().cast("array<int>")
-    described = blocks.select("number", "longest", F.explode(numbers).alias("group"))
-    wanted = described.join(groups.select("group", "needed"), "group").where("longest >= needed").select("group", "number")
-    payload = blocks.select("number", "ids", "vectors")
-    pairs = wanted.join(payload, "number").withColumn("slice", F.floor(F.col("number") / SLICE))
-    pairs = pairs.join(groups.select("group", "q_ids", "q_vectors", "floors"), "group")
-    sliced = pairs.repartition("group", "slice").sortWithinPartitions("group", "slice", "number")
+            for start in range(0, batch.num_rows, QUERIES):
+                part = batch.slice(start, QUERIES)
+                group = _Queries(part.column("vec_id").to_numpy(), _matrix(part.column("v"), size), turn, k)
+                for block in longest:
+                    group.meet(block)
+                columns = [part.column("vec_id"), part.column("v"), pa.array(group.floor), pa.array(group.reach())]
+                yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "v", "floor", "bound"])
+
+    by_length = base.select("vec_id", "v", F.lit(0.0).alias("floor"), F.col("norm").alias("bound"))
+    by_length = by_length.repartitionByRange(F.desc("bound"), "vec_id").sortWithinPartitions(F.desc("bound"), "vec_id")
+    blocks = _numbered(by_length.mapInArrow(_packed(size, kind, CANDIDATES), _PACKED), "blocks")
+    asked = base.where(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
+    started = written(asked.mapInArrow(begin, "vec_id bigint, v array<bigint>, floor double, bound double"), "queries")
+    by_reach = started.repartitionByRange("bound", "vec_id").sortWithinPartitions("bound", "vec_id")
+    groups = _numbered(by_reach.mapInArrow(_packed(size, kind, QUERIES), _PACKED), "groups")
+
+    n_groups, n_slices = groups.count(), -(-blocks.count() // SLICE)
+    share = max(1, min(SHARE, n_groups * n_slices // (2 * context.defaultParallelism)))
+    groups = groups.withColumn("share", F.floor(F.col("number") / share))
+    blocks = blocks.withColumn("slice", F.floor(F.col("number") / SLICE))
+    needed = groups.groupBy("share").agg(F.min("bound").alias("needed"))
+    longest = blocks.groupBy("slice").agg(F.max("bound").alias("longest"))
+    shares = F.sequence(F.lit(0), F.lit(-(-n_groups // share) - 1)) if n_groups else F.array()
+    met = longest.select("slice", "longest", F.explode(shares.cast("array<bigint>")).alias("share")).join(needed, "share")
+    met = written(met.where("longest >= needed").select("share", "slice"), "met")
+
+    asking = met.join(groups, "share").select("share", "slice", F.lit(0).alias("side"), "number", "ids", "vectors", "floors")
+    facing = met.join(blocks, "slice").select("share", "slice", F.lit(1).alias("side"), "number", "ids", "vectors", F.lit(None).cast("binary"))
+    tasks = min(max(1, met.count()), int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = asking.union(facing).repartition(tasks, "share", "slice").sortWithinPartitions("share", "slice", "side", "number")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, None
+        key, held = None, []
         for batch in batches:
             columns = {c: batch.column(c) for c in batch.schema.names}
             for i in range(batch.num_rows):
-                own = columns["group"][i].as_py(), columns["slice"][i].as_py()
-                if own != key:
-                    if group is not None:
-                        yield group.found()
-                    group = _Queries(*_unpacked(columns["q_ids"][i].as_py(), columns["q_vectors"][i].as_py(), size), turn, k)
-                    group.floor = np.frombuffer(columns["floors"][i].as_py(), np.float64).copy()
-                    key = own
-                group.meet(*_unpacked(columns["ids"][i].as_py(), columns["vectors"][i].as_py(), size), turn)
-        if group is not None:
-            yield group.found()
-
-    found = sliced.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+                row = {c: column[i].as_py() for c, column in columns.items()}
+                if (row["share"], row["slice"]) != key:
+                    yield from (group.found() for group in held)
+                    key, held = (row["share"], row["slice"]), []
+                ids = np.frombuffer(row["ids"], np.int64)
+                rows = np.frombuffer(row["vectors"], kind).reshape(len(ids), size).astype(np.int64)
+                if row["side"]:
+                    block = _Block(ids, rows, turn)
+                    for group in held:
+                        group.meet(block)
+                else:
+                    held.append(_Queries(ids, rows, turn, k, np.frombuffer(row["floors"], np.float64)))
+        yield from (group.found() for group in held)
+
+    found = dealt.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -23,9 +23,9 @@ def brute(rows, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("sizes", [(2048, 512, 64), (7, 3, 2)])
+@pytest.mark.parametrize("sizes", [(2048, 512, 64, 64, 4096), (7, 3, 2, 2, 14), (5, 1, 1, 3, 9)])
 def test_cases(spark, monkeypatch, sizes):
-    for name, size in zip(("CANDIDATES", "QUERIES", "SLICE"), sizes):
+    for name, size in zip(("CANDIDATES", "QUERIES", "SLICE", "SHARE", "HEAD"), sizes):
         monkeypatch.setattr(topk, name, size)
     rng = np.random.default_rng(2)
     rows = [(i, (rng.normal(size=30) * rng.lognormal()).tolist()) for i in range(150)]
