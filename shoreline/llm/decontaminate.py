@@ -84,58 +84,64 @@ def item_windows(items: DataFrame) -> DataFrame:
     return long.union(short).distinct()
 
 
-def _seeded(docs: DataFrame, length: int) -> DataFrame:
-    """``doc_id``, ``tag``, ``words`` and ``seeds``: by place, the hash to look up, or null."""
+def _seeded(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """``doc_id``, ``tag``, ``words`` and, for each length of a window, ``seeds``.
+
+    The seeds are the hashes to look up, null or from the word ``place - 1`` on; the first is null.
+    Words are split and hashed once, whatever the number of lengths.
+    """
     split = docs.select("doc_id", F.xxhash64("text").alias("tag"), words(F.col("text")).alias("words"))
-    hashed = _hashes(split, "doc_id", "tag")
-    if length < WINDOW:
-        return hashed.select("doc_id", "tag", "words", _grams("hashes", length).alias("seeds"))
-    grams = hashed.select("doc_id", "tag", "words", _grams("hashes", GRAM).alias("grams"))
-    minima = grams.select("doc_id", "tag", "words", _winnowed("grams").alias("minima"))
-    return minima.select("doc_id", "tag", "words", _run_starts("minima").alias("seeds"))
+    hashed = _hashes(split, "doc_id", "tag").withColumn("grams", _grams("hashes", GRAM)).withColumn("minima", _winnowed("grams"))
+    lead = F.array(F.lit(None).cast("bigint"))
+    found = [F.concat(lead, _run_starts("minima") if n == WINDOW else _grams("hashes", n)) for n in lengths]
+    parts = F.array(*(F.struct(F.lit(n).alias("length"), seeds.alias("seeds")) for n, seeds in zip(lengths, found)))
+    return hashed.select("doc_id", "tag", "words", F.explode_outer(parts).alias("part")).select("doc_id", "tag", "words", "part.*")
 
 
-def _hits(docs: DataFrame, windows: DataFrame, length: int) -> DataFrame:
-    """``doc_id``, ``tag``, ``n_words``, ``start`` and the words around each hit.
+def _hits(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """``doc_id``, ``tag``, ``n_words``, ``length``, ``start`` and the words ``around`` each hit.
 
-    Every document also has one row with a null ``start``.
+    Every document also has one row with a null ``start``. A hash is looked up among those of all
+    lengths; whether the words agree is compared later.
     """
-    seeds = written(windows.where(F.col("length") == length).select(F.col("seed").alias("found")).distinct(), "seeds")
-    reach = length + RUN - 1 if length == WINDOW else length
+    seeds = written(windows.select(F.col("seed").alias("found")).distinct(), "seeds")
+    reach = F.when(F.col("length") == WINDOW, WINDOW + RUN - 1).otherwise(F.col("length"))
     around = F.slice("words", F.col("place"), reach)
-    lead = F.array(F.lit(None).cast("bigint"))
-    seeded = _seeded(docs, length).select("doc_id", "tag", "words", F.concat(lead, "seeds").alias("seeds"))
+    seeded, own = _seeded(docs, lengths), f"(place = 0 AND length = {WINDOW})"
     if seeds.count() <= BROADCAST_SEEDS:
-        rows = seeded.select("doc_id", "tag", "words", F.posexplode_outer("seeds").alias("place", "seed"))
-        rows = rows.where("seed IS NOT NULL OR place = 0").join(F.broadcast(seeds), F.col("seed") == F.col("found"), "left")
-        rows = rows.where("found IS NOT NULL OR place = 0")
+        rows = seeded.select("doc_id", "tag", "words", "length", F.posexplode_outer("seeds").alias("place", "seed"))
+        rows = rows.where(f"seed IS NOT NULL OR {own}").join(F.broadcast(seeds), F.col("seed") == F.col("found"), "left")
+        rows = rows.where(f"found IS NOT NULL OR {own}")
     else:
-        narrow = seeded.select("doc_id", "tag", F.posexplode_outer("seeds").alias("place", "seed")).where("seed IS NOT NULL")
+        narrow = seeded.select("doc_id", "tag", "length", F.posexplode_outer("seeds").alias("place", "seed")).where("seed IS NOT NULL")
         found = narrow.join(seeds, F.col("seed") == F.col("found"), "left_semi")
-        places = found.groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
+        places = found.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("length", "place")).alias("places"))
         places = places.withColumnsRenamed({"doc_id": "found_id", "tag": "found_tag"})
-        same = seeded["doc_id"].eqNullSafe(places["found_id"]) & (seeded["tag"] == places["found_tag"])
-        rows = seeded.join(places, same, "left").select(
-            "doc_id", "tag", "words", F.explode_outer(F.concat(F.array(F.lit(0)), F.coalesce("places", F.array().cast("array<int>")))).alias("place")
-        )
+        whole = docs.select("doc_id", F.xxhash64("text").alias("tag"), words(F.col("text")).alias("words"))
+        same = whole["doc_id"].eqNullSafe(places["found_id"]) & (whole["tag"] == places["found_tag"])
+        first = F.array(F.struct(F.lit(WINDOW).alias("length"), F.lit(0).alias("place")))
+        all_places = F.concat(first, F.coalesce("places", F.array().cast("array<struct<length:int,place:int>>")))
+        rows = whole.join(places, same, "left").select("doc_id", "tag", "words", F.explode_outer(all_places).alias("at"))
+        rows = rows.select("doc_id", "tag", "words", "at.*")
     return rows.select(
         "doc_id",
         "tag",
         F.size("words").alias("n_words"),
+        "length",
         F.when(F.col("place") > 0, F.col("place") - 1).alias("start"),
         F.when(F.col("place") > 0, around).alias("around"),
     )
 
 
-def _occurrences(hits: DataFrame, windows: DataFrame, length: int) -> DataFrame:
+def _occurrences(hits: DataFrame, windows: DataFrame) -> DataFrame:
     """Windows of items in documents: ``doc_id``, ``tag``, ``start``, ``length``, ``item_id``."""
-    offsets = F.sequence(F.lit(0), F.size("around") - length)
-    fitting = hits.where((F.col("start").isNotNull()) & (F.size("around") >= length))
-    placed = fitting.select("doc_id", "tag", "start", "around", F.explode(offsets).alias("offset"))
-    text = F.array_join(F.slice("around", F.col("offset") + 1, length), " ").alias("window")
-    placed = placed.select("doc_id", "tag", (F.col("start") + F.col("offset")).alias("start"), text)
-    wanted = windows.where(F.col("length") == length).select("length", "window", "item_id").distinct()
-    return placed.join(wanted, "window").select("doc_id", "tag", "start", "length", "item_id")
+    offsets = F.sequence(F.lit(0), F.size("around") - F.col("length"))
+    fitting = hits.where((F.col("start").isNotNull()) & (F.size("around") >= F.col("length")))
+    placed = fitting.select("doc_id", "tag", "start", "length", "around", F.explode(offsets).alias("offset"))
+    text = F.array_join(F.slice("around", F.col("offset") + 1, F.col("length")), " ").alias("window")
+    placed = placed.select("doc_id", "tag", (F.col("start") + F.col("offset")).alias("start"), "length", text)
+    wanted = windows.select("length", "window", "item_id").distinct()
+    return placed.join(wanted, ["length", "window"]).select("doc_id", "tag", "start", "length", "item_id")
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -146,18 +152,14 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     windows = written(item_windows(items), "windows")
     lengths = sorted({WINDOW, *(r.length for r in windows.select("length").distinct().collect())})
-    all_hits = {length: written(_hits(docs, windows, length), "hits") for length in lengths}
-    found = None
-    for length, hits in all_hits.items():
-        part = _occurrences(hits, windows, length)
-        found = part if found is None else found.union(part)
-    per_doc = found.groupBy(F.col("doc_id").alias("hit_id"), F.col("tag").alias("hit_tag")).agg(
+    hits = written(_hits(docs, windows, lengths), "hits")
+    per_doc = _occurrences(hits, windows).groupBy(F.col("doc_id").alias("hit_id"), F.col("tag").alias("hit_tag")).agg(
         F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"),
         F.array_sort(F.collect_set("item_id")).alias("item_ids"),
     )
     covered = F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))
     per_doc = per_doc.withColumn("n_hit", F.size(F.array_distinct(F.flatten(covered))))
-    rows = all_hits[WINDOW].where("start IS NULL").select("doc_id", "tag", "n_words")
+    rows = hits.where("start IS NULL").select("doc_id", "tag", "n_words")
     same = rows["doc_id"].eqNullSafe(per_doc["hit_id"]) & (rows["tag"] == per_doc["hit_tag"])
     return rows.join(per_doc, same, "left").select(
         "doc_id",

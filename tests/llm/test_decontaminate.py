@@ -74,6 +74,21 @@ def test_cases(spark, monkeypatch, limit):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((d for d, t in CASES if not gone(t, BENCH)), key=str)
 
 
+def test_items_of_every_length_in_one_reading(spark, monkeypatch):
+    """Items of 1 to 12 words; the five words of one are also a gram of longer windows."""
+    names = ITEM.lower().split()
+    items = [(n, " ".join(names[:n])) for n in range(1, 13)] + [(50, " ".join(names[4:9])), (51, "nowhere at all")]
+    texts = [" ".join(names[a:b]) for a in range(0, 12, 3) for b in range(a + 1, 14, 2)]
+    docs = list(enumerate([*texts, "", None, "thirteen " + ITEM + " and one", "one two one two three"]))
+    tables = spark.createDataFrame([(d, t, "en", "s", 0, 1, "w") for d, t in docs], DOCS), spark.createDataFrame([(i, t, "w", 1) for i, t in items], ITEMS)
+    passes = []
+    seeded = decontaminate._seeded
+    monkeypatch.setattr(decontaminate, "_seeded", lambda *given: passes.append(given[1]) or seeded(*given))
+    found = decontaminate.contamination(*tables).select("doc_id", "n_words", "n_hit", "item_ids").collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found), key=str) == brute(docs, items)
+    assert passes == [list(range(1, 11))]
+
+
 def gone(text, bench):
     """A whole window of ten words occurs, or half of the words are hit."""
     _, n_words, n_hit, _ = brute([(0, text)], bench)[0]
