@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.llm import decontaminate, linededup, mixing, simhash, toxicity
-from shoreline.llm.common import table, unused_name, written
+from shoreline.llm.common import table, unused_name
+from shoreline.session import remove_folder, scratch_cleared, scratch_path
 
 #: Shares of all tokens for documents of good and of poor quality; toxic ones have left before.
 SHARES = {"good": 0.9, "poor": 0.1}
@@ -62,9 +63,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage staged, and its input, go once its result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_cleared(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        if before is not None:
+            remove_folder(spark, before)
+        docs, before = spark.read.schema(kept.schema).parquet(path), path
     return docs
 
 

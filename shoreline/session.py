@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,10 @@ STREAMING_CONF = {
 }
 
 
+#: Scratch paths taken inside ``scratch_cleared``.
+_TAKEN: ContextVar[list[str] | None] = ContextVar("taken", default=None)
+
+
 def build_session(app_name: str, overrides: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**RECOMMENDED_CONF, **(overrides or {})}.items():
@@ -48,7 +53,32 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created until something is written."""
-    return f"{shared_folder(spark)}/shoreline/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/shoreline/{label}-{uuid.uuid4().hex}"
+    if (taken := _TAKEN.get()) is not None:
+        taken.append(path)
+    return path
+
+
+@contextmanager
+def scratch_cleared(spark: SparkSession) -> Iterator[None]:
+    """Remove what was written to scratch paths taken in the block, also after an error.
+
+    For steps that write their result elsewhere before the block ends: a result that is still
+    to be computed would miss its inputs.
+    """
+    taken: list[str] = []
+    token = _TAKEN.set(taken)
+    try:
+        yield
+    finally:
+        _TAKEN.reset(token)
+        for path in taken:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    store, target = _store(spark, path)
+    store.delete(target, True)
 
 
 @contextmanager
@@ -58,8 +88,7 @@ def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        store, target = _store(spark, path)
-        store.delete(target, True)
+        remove_folder(spark, path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
