@@ -6,6 +6,7 @@ from test_linededup import brute as lines_kept
 from test_simhash import brute_components, brute_fingerprint
 
 import corpus_pipeline
+from shoreline.llm.common import written
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -21,7 +22,7 @@ def test_each_stage_on_its_own_input(spark, tables):
     items = [(r.item_id, r.text) for r in tables("benchmark", SF_DIR).collect()]
     results = [docs]
     for name, stage in corpus_pipeline.STAGES:
-        results.append(corpus_pipeline.written(stage(spark, results[-1], SF_DIR), "test"))
+        results.append(written(stage(spark, results[-1], SF_DIR), "test"))
     rows = [[(r.doc_id, r.text) for r in d.collect()] for d in results]
     assert all(d.columns == columns for d in results[:-1]) and results[-1].columns[: len(columns)] == columns
     scored = {r.doc_id: r.predicted for r in __import__("shoreline.llm.queries", fromlist=["x"]).op2_toxicity(spark, SF_DIR).collect()}
@@ -38,6 +39,15 @@ def test_each_stage_on_its_own_input(spark, tables):
     assert good == pytest.approx(corpus_pipeline.SHARES["good"], abs=0.01)
 
 
+def test_a_run_leaves_its_result_alone(spark, tmp_path, monkeypatch):
+    """Every stage's own tables and input are gone once the next result is written."""
+    monkeypatch.setattr("shoreline.session.shared_folder", lambda _: str(tmp_path))
+    result = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = [folder.name for folder in (tmp_path / "shoreline").iterdir()]
+    assert [name.rsplit("-", 1)[0] for name in left] == ["mixing-to-target-weights"]
+    assert result.count() > 0 and "rate" in result.columns
+
+
 def test_edge_cases(spark):
     """Nulls, empty and repeated rows, clashing names and an empty table pass through every stage."""
     rows = [(1, None, None, None, None, 1), (1, "", "en", "s", 0, 1), (None, "a b", "en", "s", 3, 1), (2, "a b", "en", "s", 3, 1), (2, "a b", "en", "s", 3, 1)]
@@ -45,7 +55,7 @@ def test_edge_cases(spark):
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         columns = docs.columns
         for name, stage in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.written(stage(spark, docs, "/root/testdata/sf0.001"), "test")
+            docs = written(stage(spark, docs, "/root/testdata/sf0.001"), "test")
             assert docs.columns[: len(columns)] == columns, name
 
 
