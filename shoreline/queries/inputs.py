@@ -17,8 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Batches that a stream over a table arrives in, and one more without a record.
 BATCHES = 3
-#: Files that a batch arrives in.
+#: Files that a batch arrives in, at least.
 FILES = 4
+#: Rows of a file from which a batch arrives in more files, as a file is the work of one task.
+ROWS_PER_FILE = 50_000
+#: Rows that each file of the smallest batch has on average where a batch has more than ``FILES`` files; then none is empty.
+LEAST_ROWS = 100
 
 
 def arrivals(spark: SparkSession, sf_dir: str, name: str, key: str, *, mixed: bool = False) -> DataFrame:
@@ -29,18 +33,19 @@ def arrivals(spark: SparkSession, sf_dir: str, name: str, key: str, *, mixed: bo
     land once per application, as a topic would hold them already.
     """
     rows = table(spark, sf_dir, name)
-    path = _landed(spark, sf_dir, name, key, mixed)
-    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES)
+    path, files = _landed(spark, sf_dir, name, key, mixed)
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(f"{path}/chunk=*")
 
 
-_LANDED: dict[tuple, str] = {}
+_LANDED: dict[tuple, tuple[str, int]] = {}
 
 
-def _landed(spark: SparkSession, sf_dir: str, name: str, key: str, mixed: bool) -> str:
-    """``FILES`` files per batch, batch after batch in the order of their times.
+def _landed(spark: SparkSession, sf_dir: str, name: str, key: str, mixed: bool) -> tuple[str, int]:
+    """Where they are and the files per batch, batch after batch in the order of their times.
 
-    Batches are written one after the other, as file streams take the oldest files first.
+    Batches are written one after the other, as file streams take the oldest files first. Each
+    has the same number of files, which grows with the table.
     """
     rows = table(spark, sf_dir, name)
     found = (spark.sparkContext.applicationId, sf_dir, name, key, mixed)
@@ -49,11 +54,18 @@ def _landed(spark: SparkSession, sf_dir: str, name: str, key: str, mixed: bool)
     path = scratch_path(spark, "arriving")
     top = rows.agg(F.max(key)).first()[0] or 0
     chunk = F.col(key) % BATCHES if mixed else F.floor(F.col(key) * BATCHES / F.lit(top + 1)).cast("int")
+    counts = {row.chunk: row["count"] for row in rows.groupBy(chunk.alias("chunk")).count().where(F.col("chunk").between(0, BATCHES - 1)).collect()}
+    files = _files([counts.get(number, 0) for number in range(BATCHES)])
     for number in range(BATCHES):
-        rows.where(chunk == number).repartition(FILES).write.parquet(f"{path}/chunk={number}")
+        rows.where(chunk == number).repartition(files).write.parquet(f"{path}/chunk={number}")
     rows.limit(0).write.parquet(f"{path}/chunk={BATCHES}")
-    _LANDED[found] = path
-    return path
+    _LANDED[found] = path, files
+    return path, files
+
+
+def _files(counts: list[int]) -> int:
+    """Files that each batch is written in, given the rows of each."""
+    return max(FILES, min(-(-max(counts) // ROWS_PER_FILE), min(counts) // LEAST_ROWS))
 
 
 def text_of(name: str) -> Column:
@@ -231,6 +243,8 @@ def feed(events: DataFrame) -> DataFrame:
             F.when(kind == "signup", F.slice(both, 1, 0)).otherwise(both).alias("entities"),
         )
     )
+    events = events.select("*", record.alias("record"))  # a step of its own: the cases below would each hold the whole expression
+    record = F.col("record")
     value = (
         F.when(number % 50 == 49, F.rtrim(record, F.lit("}")))
         .when(number % 150 == 48, F.concat(record, record))

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from shoreline.queries import inputs
 from shoreline.sources.kafka import RECORD_SCHEMA
 from shoreline.streaming.jobs import (
     current_counts,
@@ -394,3 +395,25 @@ def test_panes_fit_into_length_and_slide(spark, topic, tmp_path):
     records = spark.read.schema(RECORD_SCHEMA).json(str(topic.folder))
     direct = in_windows(records, "45 seconds", "30 seconds").groupBy("window_start", "window_end", "topic").count()
     assert sorted(current_counts(spark.read.parquet(path), "45 seconds", "30 seconds").collect()) == sorted(direct.collect())
+
+
+def test_files_of_a_batch_follow_the_rows(spark, tmp_path, monkeypatch):
+    """A file is the work of one task, so a larger table arrives in more of them, in the same batches."""
+    monkeypatch.setattr(inputs, "ROWS_PER_FILE", 100)
+    spark.range(3000).select(F.col("id").alias("event_id")).write.parquet(str(tmp_path / "events.parquet"))
+    found = []
+
+    def look(batch, batch_id):
+        found.append(tuple(batch.agg(F.min("event_id"), F.max("event_id"), F.count("*")).first()))
+
+    stream = inputs.arrivals(spark, str(tmp_path), "events", "event_id")
+    start(stream.writeStream.foreachBatch(look), str(tmp_path / "checkpoint")).awaitTermination()
+    assert found == [(0, 999, 1000), (1000, 1999, 1000), (2000, 2999, 1000), (None, None, 0)]
+    path, files = inputs._landed(spark, str(tmp_path), "events", "event_id", False)
+    assert files == 10 and all(len(glob.glob(f"{path}/chunk={n}/*.parquet")) == 10 for n in range(3))
+
+
+def test_no_batch_has_more_files_than_rows_for_them():
+    assert inputs._files([30, 30, 30]) == inputs._files([0, 10**8, 10**8]) == inputs.FILES
+    assert inputs._files([10**8, 1000, 10**8]) == 10
+    assert inputs._files([10**7] * 3) == 200
