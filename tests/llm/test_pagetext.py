@@ -150,6 +150,53 @@ def test_differencing_across_partitions(spark, partitions):
     assert len(found) == len(rows) and {r.page_id: r.text for r in found} == expected
 
 
+def test_marked_pages_are_differenced(spark):
+    """Marked text stays; the page's own lines beside it stay too, and pages with marks are neighbours of those without."""
+    marked = "<div>Site name</div><h1>title {0}</h1><article><p>shared text<p>text {0}</article><div>Imprint</div>"
+    pages = {
+        ("m.org", 1): (marked.format(1), "title 1\nshared text\ntext 1"),
+        ("m.org", 2): (marked.format(2), "title 2\nshared text\ntext 2"),
+        ("m.org", 3): ("<div>Site name</div><p>own<p>shared text<div>Imprint</div>", "own\nshared text"),  # text to its neighbour
+        ("m.org", 4): (marked.format(4), "title 4\nshared text\ntext 4"),
+        ("n.org", 1): ("<nav><ul><li>Home<li>News</ul></nav><main>x</main><footer>Imprint</footer>", "x"),
+        ("n.org", 2): ("<ul><li>Home<li>News</ul><p>own</p><div>Imprint</div>", "own"),  # a frame that the neighbour names
+        ("n.org", 3): ("", ""),
+        ("n.org", 4): ("<article>all of it</article>", "all of it"),
+        ("n.org", 5): ("<ul><li>Home<li>News</ul><p>mine</p><div>Imprint</div>", "mine"),  # 3 and 4 have nothing to compare
+        ("alone.org", 1): (marked.format(1), "shared text\ntext 1"),
+    }
+    rows = [(k, f"http://{host}/{i}", page, "t", host) for k, ((host, i), (page, _)) in enumerate(pages.items())]
+    expected = {k: text for k, (_, text) in enumerate(pages.values())}
+    for partitions in (None, 1, 7):
+        found = pagetext.main_text(spark.createDataFrame(rows, SCHEMA), partitions).collect()
+        assert len(found) == len(rows) and {r.page_id: r.text for r in found} == expected
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 60])
+def test_differencing_of_mixed_pages(spark, partitions):
+    """Pages of all kinds, against the rule written out over sorted lists of blocks."""
+    draw, rows, expected = random.Random(5), [], {}
+    for host, n in (("a", 40), ("b", 1), ("c", 2), ("d", 3), ("e", 15)):
+        pages = []
+        for i in range(n):
+            kinds = draw.choices(["div", "article", "footer"], draw.choice([(1, 0, 0), (0, 1, 1), (2, 1, 1), (0, 0, 1), (0, 1, 0)]), k=draw.randint(0, 7))
+            pages.append([(kind, f"line {draw.randint(0, 9)}") for kind in kinds])
+            rows.append((len(rows), f"http://{host}.org/{i:03}", "".join(f"<{kind}>{line}</{kind}>" for kind, line in pages[i]), "t", host))
+        comparable = [page for page in pages if any(kind != "article" for kind, _ in page)]
+        for page_id, page in enumerate(pages, len(rows) - n):
+            texts = [line for kind, line in page if kind == "article"]
+            if any(kind == "div" for kind, _ in page):
+                at = next(k for k, other in enumerate(comparable) if other is page)
+                before = comparable[at - 1] if at else comparable[1] if len(comparable) > 1 else None
+                own = [line for kind, line in page if kind == "div"]
+                gone = pagetext.shared(own, [line for kind, line in before if kind != "article"]) if before else range(len(own) if texts else 0)
+                kept = iter([k not in gone for k in range(len(own))])
+                texts = [line for kind, line in page if kind == "article" or (kind == "div" and next(kept))] or own
+            expected[page_id] = "\n".join(texts)
+    found = pagetext.main_text(spark.createDataFrame(rows, SCHEMA), partitions).collect()
+    assert len(found) == len(rows) and {r.page_id: r.text for r in found} == expected
+
+
 def test_empty_table(spark):
     assert pagetext.main_text(spark.createDataFrame([], SCHEMA)).collect() == []
 
