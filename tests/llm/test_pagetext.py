@@ -197,6 +197,18 @@ def test_differencing_of_mixed_pages(spark, partitions):
     assert len(found) == len(rows) and {r.page_id: r.text for r in found} == expected
 
 
+def test_equal_rows_are_pages_of_their_own(spark):
+    """Rows equal in all columns are neighbours: each loses what the one before it has."""
+    marked = "<div>Site name</div><h1>title</h1><article>text</article>"
+    before = "<div>Site name</div><p>other</p>"
+    rows = [(1, "http://h.org/1", before, "t", "h"), *[(2, "http://h.org/2", marked, "t", "h")] * 3, (None, None, marked, "t", "h")]
+    rows += [(3, "http://i.org/1", before, "t", "i"), *[(None, "http://i.org/2", marked, "t", "i")] * 2, (4, None, None, "t", "i"), (4, None, "", "t", "i")]
+    expected = [(1, "other"), (2, "title\ntext"), (2, "text"), (2, "text"), (3, "other"), (4, ""), (4, ""), (None, "text"), (None, "text"), (None, "title\ntext")]
+    for partitions in (None, 3, 20):
+        found = pagetext.main_text(spark.createDataFrame(rows, SCHEMA), partitions).collect()
+        assert sorted(((r.page_id, r.text) for r in found), key=repr) == sorted(expected, key=repr)
+
+
 def test_empty_table(spark):
     assert pagetext.main_text(spark.createDataFrame([], SCHEMA)).collect() == []
 
